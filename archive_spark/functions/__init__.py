@@ -11,7 +11,7 @@ from .text import (
     split_title_date,
     time_range,
 )
-from .urls import host_of, id_from_url, page_file_name, page_slug, resolve_url, url_key
+from .urls import host_of, id_from_url, page_file_name, page_slug, resolve_all, resolve_url, url_key
 
 __all__ = [
     "concat_text",
@@ -28,6 +28,7 @@ __all__ = [
     "program_duration",
     "py_strip",
     "reporters",
+    "resolve_all",
     "resolve_url",
     "split_title_date",
     "time_range",

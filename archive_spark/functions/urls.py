@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ._column import as_column
-from .text import py_strip
+from .text import SPACE_CLASS
 
 _HTML_SPACES = "\t\n\x0c\r "
 
@@ -22,34 +22,85 @@ def _without_dot_segments(path: Column) -> Column:
         .when(part == ".", done)
         .otherwise(F.concat(done, F.array(part))),
     )
-    closing = F.when(F.try_element_at(segments, F.lit(-1)).isin(".", ".."), "/").otherwise("")
-    joined = F.concat(F.array_join(kept, "/"), closing)
-    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+    closing = F.when(path.rlike(r"/\.{1,2}\z"), "/").otherwise("")
+    return F.regexp_replace(F.concat(F.array_join(kept, "/"), closing), r"\A(?!/)", "/")
 
 
-def resolve_url(base: Column | str, href: Column | str) -> Column:
-    """Absolute URL of ``href`` found on the page ``base``; null stays null."""
+def resolve_all(base: Column | str, hrefs: Column | str) -> Column:
+    """Array of structs ``href`` and absolute ``url`` for the hrefs of the page ``base``.
+
+    Each step is an array of its own, so that no part is computed more than once.
+    """
     base = as_column(base)
-    href = F.btrim(as_column(href), F.lit(_HTML_SPACES))
-    scheme = F.regexp_extract(base, r"\A([^:/?#]+):", 1)
-    root = F.regexp_extract(base, r"\A([^:/?#]+://[^/?#]*)", 1)
-    base_path = F.regexp_extract(base, r"\A[^:/?#]+://[^/?#]*([^?#]*)", 1)
-    path = F.regexp_extract(href, r"\A([^?#]*)", 1)
-    tail = F.regexp_extract(href, r"(?s)\A[^?#]*([?#].*)\z", 1)
-    folder = F.regexp_replace(base_path, r"[^/]*\z", "")
-    relative = F.regexp_replace(F.concat(folder, F.lit("/"), path), "/{2,}", "/")
-    full = F.when(path.startswith("/"), path).otherwise(relative)
-    full = F.when(full.rlike(r"/\.{1,2}(/|\z)"), _without_dot_segments(full)).otherwise(full)
-    return (
-        F.when(href == "", base)
-        .when(href.rlike(r"\A[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("#"), F.concat(F.regexp_replace(base, r"(?s)#.*", ""), href))
-        .when(href.startswith("?"), F.concat(root, base_path, href))
-        .when(href.isNotNull(), F.concat(root, full, tail))
+    trimmed = F.transform(
+        as_column(hrefs),
+        lambda href: F.struct(href.alias("href"), F.btrim(href, F.lit(_HTML_SPACES)).alias("text")),
+    )
+    parts = F.transform(
+        trimmed,
+        lambda e: F.struct(
+            e["href"].alias("href"),
+            e["text"].alias("text"),
+            F.regexp_extract(e["text"], r"\A([^?#]*)", 1).alias("path"),
+            F.regexp_extract(base, r"\A([^:/?#]+://[^/?#]*)", 1).alias("root"),
+            F.regexp_extract(base, r"\A[^:/?#]+://[^/?#]*([^?#]*)", 1).alias("base_path"),
+        ),
+    )
+    paths = F.transform(
+        parts,
+        lambda e: F.struct(
+            e["href"].alias("href"),
+            e["text"].alias("text"),
+            e["root"].alias("root"),
+            e["base_path"].alias("base_path"),
+            F.when(e["path"].startswith("/"), e["path"])
+            .otherwise(
+                F.regexp_replace(
+                    F.concat(
+                        F.regexp_replace(e["base_path"], r"[^/]*\z", ""), F.lit("/"), e["path"]
+                    ),
+                    "/{2,}",
+                    "/",
+                )
+            )
+            .alias("path"),
+        ),
+    )
+    return F.transform(
+        paths,
+        lambda e: F.struct(
+            e["href"].alias("href"),
+            F.when(e["text"] == "", base)
+            .when(e["text"].rlike(r"\A[A-Za-z][A-Za-z0-9+.\-]*:"), e["text"])
+            .when(
+                e["text"].startswith("//"),
+                F.concat(F.regexp_extract(base, r"\A([^:/?#]+:)", 1), e["text"]),
+            )
+            .when(
+                e["text"].startswith("#"),
+                F.concat(F.regexp_replace(base, r"(?s)#.*", ""), e["text"]),
+            )
+            .when(e["text"].startswith("?"), F.concat(e["root"], e["base_path"], e["text"]))
+            .when(
+                e["text"].isNotNull(),
+                F.concat(
+                    e["root"],
+                    F.when(
+                        e["path"].rlike(r"/\.{1,2}(/|\z)"), _without_dot_segments(e["path"])
+                    ).otherwise(e["path"]),
+                    F.regexp_extract(e["text"], r"(?s)\A[^?#]*([?#].*)\z", 1),
+                ),
+            )
+            .alias("url"),
+        ),
     )
 
 
+def resolve_url(base: Column | str, href: Column | str) -> Column:
+    """Absolute URL of ``href`` found on the page ``base``; null stays null."""
+    return F.get(resolve_all(base, F.array(as_column(href))), F.lit(0))["url"]
+
+
 def url_key(url: Column | str) -> Column:
     """URL without fragment and with sorted query: equal keys are one request."""
     plain = F.regexp_replace(as_column(url), r"(?s)#.*", "")
@@ -68,21 +119,18 @@ def host_of(url: Column | str) -> Column:
     )
 
 
-def _part(url: Column, position: int) -> Column:
-    return F.try_element_at(F.split(url, "/"), F.lit(position))
-
-
 def id_from_url(url: Column | str) -> Column:
     """Whole number in the last path part, null for anything else."""
-    last = py_strip(_part(as_column(url), -1))
-    return F.when(
-        last.rlike(r"\A[+-]?\d+(_\d+)*\z"), F.replace(last, F.lit("_"), F.lit("")).try_cast("bigint")
+    digits = F.regexp_extract(
+        as_column(url), rf"(?:\A|/){SPACE_CLASS}*([+-]?\d+(?:_\d+)*){SPACE_CLASS}*\z", 1
     )
+    return F.replace(digits, F.lit("_"), F.lit("")).try_cast("bigint")
 
 
 def page_slug(url: Column | str) -> Column:
     """Second last part of a URL, ``index`` where it is empty."""
-    return F.coalesce(F.nullif(_part(as_column(url), -2), F.lit("")), F.lit("index"))
+    part = F.try_element_at(F.split(as_column(url), "/"), F.lit(-2))
+    return F.coalesce(F.nullif(part, F.lit("")), F.lit("index"))
 
 
 def page_file_name(kind: Column | str, page_id: Column | str) -> Column:

@@ -5,23 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import host_of, resolve_url, time_range, url_key
+from ..functions import host_of, resolve_all, resolve_url, time_range, url_key
 from .dedup import latest
 
 
 def exploded_links(parsed: DataFrame, hrefs: str, kind: str, list_name: str | None) -> DataFrame:
-    """``links`` rows of one href array; empty hrefs are dropped, positions are kept."""
+    """``links`` rows of one href array; empty hrefs are dropped, positions are kept.
+
+    URLs are resolved before the explode and are plain columns after it. Otherwise each
+    filter on the URL would be pushed below and repeat the whole expression.
+    """
     return (
-        parsed.select(F.col("url").alias("src_url"), F.posexplode(hrefs).alias("pos", "href"))
-        .filter(F.col("href") != "")
+        parsed.select(
+            F.col("url").alias("src_url"), F.posexplode(resolve_all("url", hrefs)).alias("pos", "link")
+        )
         .select(
             "src_url",
-            "href",
-            resolve_url("src_url", "href").alias("url"),
+            "link.*",
             F.lit(kind).alias("kind"),
             F.lit(list_name).cast("string").alias("list"),
             "pos",
         )
+        .filter(F.col("href") != "")
     )
 
 
@@ -47,17 +52,10 @@ def segment_links(parsed_months: DataFrame) -> DataFrame:
         F.struct(F.lit("special").alias("list"), F.col("special_hrefs").alias("hrefs")),
     )
     return (
-        parsed_months.select(F.col("url").alias("src_url"), F.explode(lists).alias("l"))
-        .select("src_url", F.col("l.list").alias("list"), F.posexplode("l.hrefs").alias("pos", "href"))
+        parsed_months.select(F.col("url").alias("src_url"), F.inline(lists))
+        .select("src_url", "list", F.posexplode(resolve_all("src_url", "hrefs")).alias("pos", "link"))
+        .select("src_url", "link.*", F.lit("broadcast").alias("kind"), "list", "pos")
         .filter(F.col("href") != "")
-        .select(
-            "src_url",
-            "href",
-            resolve_url("src_url", "href").alias("url"),
-            F.lit("broadcast").alias("kind"),
-            "list",
-            "pos",
-        )
     )
 
 
@@ -73,36 +71,33 @@ def program_link(parsed_broadcasts: DataFrame) -> DataFrame:
     )
 
 
-def zip_shortest(**arrays: Column | str) -> Column:
-    """Array of structs of equally placed elements, cut to the shortest array."""
-    columns = {k: F.col(v) if isinstance(v, str) else v for k, v in arrays.items()}
-    length = F.least(*[F.size(c) for c in columns.values()])
-    return F.arrays_zip(*[F.slice(c, 1, length).alias(k) for k, c in columns.items()])
-
-
 def program_listing(parsed_programs: DataFrame, *keep: str) -> DataFrame:
-    """Segments listed on a program page, paired by place: id text, time, href."""
-    zipped = zip_shortest(broadcast_id="ids", timestamp="timestamps", href="hrefs")
+    """Segments listed on a program page: id text, time and link.
+
+    The three lists are paired by place and cut to the shortest.
+    """
+    length = F.least(F.size("ids"), F.size("timestamps"), F.size("hrefs"))
+    zipped = F.arrays_zip(
+        F.slice("ids", 1, length).alias("broadcast_id"),
+        F.slice("timestamps", 1, length).alias("timestamp"),
+        resolve_all("url", F.slice("hrefs", 1, length)).alias("link"),
+    )
     return parsed_programs.select(
         F.col("url").alias("src_url"), *keep, F.posexplode(zipped).alias("pos", "entry")
     ).select(
         "src_url",
         *keep,
         "pos",
-        F.col("entry.broadcast_id").alias("broadcast_id"),
+        "entry.broadcast_id",
         time_range("entry.timestamp").alias("broadcast_time"),
-        F.col("entry.href").alias("href"),
-        resolve_url("src_url", "entry.href").alias("url"),
+        "entry.link.*",
     )
 
 
 def host_filter(links: DataFrame, hosts: list[str], url: str = "url") -> DataFrame:
     """Links to one of the hosts or to a host below one."""
-    host = host_of(url)
-    allowed = F.lit(False)
-    for name in hosts:
-        allowed = allowed | (host == name.lower()) | host.endswith("." + name.lower())
-    return links.filter(allowed)
+    names = "|".join(rf"\Q{name.lower()}\E" for name in hosts)
+    return links.filter(host_of(url).rlike(rf"(?:\A|\.)(?:{names})\z"))
 
 
 def distinct_requests(links: DataFrame) -> DataFrame:

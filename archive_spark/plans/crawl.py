@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -53,6 +53,7 @@ DURATION_LABEL = "Duration:"
 SPECIAL_REPORTERS_LABEL = "Reporters:"
 EVENING_REPORTERS_LABEL = "Reporter(s):"
 
+SEGMENTS_COLUMNS = [f"`{name}`" for name in SEGMENTS.names]
 _PAGE_TEXTS = ("broadcast_title", "broadcast_duration", "broadcast_abstract", REPORTERS)
 
 
@@ -70,29 +71,30 @@ def last_visits(parsed: DataFrame) -> DataFrame:
     return latest(parsed, ["url_key"], [F.col("fetched_at").desc_nulls_last(), F.col("url")])
 
 
-def _page_fields(kind: str) -> dict[str, Column]:
-    """Segment columns that come from the segment page itself."""
+def _page_fields(parsed: DataFrame, kind: str, *keep: str) -> DataFrame:
+    """Segment columns that come from the segment page itself, and those to ``keep``."""
     label = SPECIAL_REPORTERS_LABEL if kind == "special" else EVENING_REPORTERS_LABEL
-    return {
-        "date": split_title_date("info", kind)[1],
-        "broadcast_title": py_strip(or_default("title", "")),
-        "broadcast_duration": meta_first("meta", DURATION_LABEL, any_list=kind == "evening"),
-        "broadcast_abstract": concat_text("description"),
-        REPORTERS: reporters(
-            "meta", label, meta_first("meta", DURATION_LABEL, any_list=kind == "evening")
-        ),
-    }
+    duration = meta_first("meta", DURATION_LABEL, any_list=kind == "evening")
+    return parsed.withColumn("broadcast_duration", duration).select(
+        *keep,
+        "broadcast_duration",
+        split_title_date("info", kind)[1].alias("date"),
+        py_strip(or_default("title", "")).alias("broadcast_title"),
+        concat_text("description").alias("broadcast_abstract"),
+        reporters("meta", label, "broadcast_duration").alias(REPORTERS),
+    )
 
 
 def special_segments(parsed: DataFrame, *keep: str) -> DataFrame:
     """One row per parsed special page, which is its whole source; ``keep`` is carried."""
-    fields = _page_fields("special")
-    fields["program_title"] = split_title_date("info", "special")[0]
-    fields["program_duration"] = F.lit("")
-    fields["broadcast_time"] = F.lit("")
-    fields["broadcast_order"] = id_from_url("url")
-    rows = parsed.select(*[fields[c].alias(c) for c in SEGMENTS.names], *keep)
-    return require_id(rows, "broadcast_order")
+    described = {
+        "program_title": split_title_date("info", "special")[0],
+        "program_duration": F.lit(""),
+        "broadcast_time": F.lit(""),
+        "broadcast_order": id_from_url("url"),
+    }
+    rows = _page_fields(parsed.withColumns(described), "special", *described, *keep)
+    return require_id(rows.select(*SEGMENTS_COLUMNS, *keep), "broadcast_order")
 
 
 def programs(parsed: DataFrame) -> DataFrame:
@@ -118,9 +120,9 @@ def evening_segments(listing: DataFrame, parsed: DataFrame, missing: str = "empt
         "broadcast_time",
         "broadcast_order",
     )
-    fields = parsed.select("url_key", *[c.alias(n) for n, c in _page_fields("evening").items()])
+    fields = _page_fields(parsed, "evening", "url_key")
     joined = segments_with_pages(entries, fields, "url_key", missing, _PAGE_TEXTS)
-    return joined.select(*[F.col(f"`{c}`") for c in SEGMENTS.names])
+    return joined.select(*SEGMENTS_COLUMNS)
 
 
 def _parse_behind(
