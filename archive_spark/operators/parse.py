@@ -163,7 +163,6 @@ _IMPLIED_END = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
     "dt": (("dt", "dd"), ("dl",)),
     "dd": (("dt", "dd"), ("dl",)),
-    "option": (("option",), ("select",)),
     "td": (("td", "th"), ("tr", "table")),
     "th": (("td", "th"), ("tr", "table")),
     "tr": (("tr",), ("table",)),
@@ -175,131 +174,151 @@ def _decode(text: str) -> str:
 
 
 class _Open:
-    __slots__ = ("tag", "attrs", "own", "inner", "serial")
+    """An open element; ``own`` and ``inner`` are the lists that take its direct text
+    and the text of elements inside it."""
 
-    def __init__(self, tag: str, attrs: dict, inner: tuple, serial: int):
-        self.tag, self.attrs, self.inner, self.serial = tag, attrs, inner, serial
+    __slots__ = ("tag", "cls", "own", "inner", "serial")
+
+    def __init__(self, tag: str, cls: str | None, inner: tuple, serial: int):
+        self.tag, self.cls, self.inner, self.serial = tag, cls, inner, serial
         self.own = inner
 
 
 def _fits(node: _Open, el: El) -> bool:
     if node.tag != el.tag:
         return False
-    value = node.attrs.get("class")
     if el.attr is not None:
-        return value == el.attr
-    return el.cls is None or (value is not None and el.cls in value.split())
-
-
-def _reaches(stack: list[_Open], path: tuple[El, ...]) -> bool:
-    """Does the innermost open element end this path?"""
+        return node.cls == el.attr
+    return el.cls is None or (node.cls is not None and el.cls in node.cls.split())
 
-    def match(depth: int, step: int) -> bool:
-        if not _fits(stack[depth], path[step]):
-            return False
-        if step == 0:
-            return True
-        if path[step].child:
-            return depth > 0 and match(depth - 1, step - 1)
-        return any(match(d, step - 1) for d in range(depth - 1, -1, -1))
 
-    return match(len(stack) - 1, len(path) - 1)
+def _reaches(stack: list[_Open], path: tuple[El, ...], depth: int, step: int) -> bool:
+    """Does the open element at ``depth`` end the path up to ``step``?"""
+    if not _fits(stack[depth], path[step]):
+        return False
+    if step == 0:
+        return True
+    if path[step].child:
+        return depth > 0 and _reaches(stack, path, depth - 1, step - 1)
+    return any(_reaches(stack, path, d, step - 1) for d in range(depth - 1, -1, -1))
 
 
 def _close(stack: list[_Open], tags: tuple[str, ...], stop: tuple | frozenset) -> None:
     for depth in range(len(stack) - 1, -1, -1):
-        if stack[depth].tag in tags:
+        tag = stack[depth].tag
+        if tag in tags:
             del stack[depth:]
             return
-        if stack[depth].tag in stop:
+        if tag in stop:
             return
 
 
-def parse_page(html: str, profile: Profile) -> dict[str, list]:
-    """Values of one page by column, in page order."""
-    found: dict[str, list] = {rule.column: [] for rule in profile.rules}
-    meta: list[dict] = []
-    wanted: dict[str, list[Rule]] = {}
-    for rule in profile.rules:
-        wanted.setdefault(rule.path[-1].tag, []).append(rule)
-    stack: list[_Open] = []
-    serial = 0
-    at = 0
-
-    def text(value: str) -> None:
-        if value and stack and stack[-1].own:
-            value = _decode(value)
-            for sink in stack[-1].own:
+class PageParser:
+    """Reads pages of one profile; prepared once and used for many pages."""
+
+    def __init__(self, profile: Profile):
+        self.profile = profile
+        self.ending: dict[str, list[Rule]] = {}
+        for rule in profile.rules:
+            self.ending.setdefault(rule.path[-1].tag, []).append(rule)
+        # Only these elements are asked for their attributes.
+        self.named = {el.tag for rule in profile.rules for el in rule.path}
+        if profile.meta_list is not None:
+            self.named.add("dl")
+
+    def _start(self, tag: str, raw_attrs: str, stack: list[_Open], found: dict, meta: list, serial: int):
+        attrs: dict[str, str] = {}
+        if raw_attrs and tag in self.named:
+            for name, double, single, bare in _ATTR.findall(raw_attrs):
+                attrs.setdefault(name.lower(), _decode(double or single or bare))
+        parent = stack[-1] if stack else None
+        node = _Open(tag, attrs.get("class"), parent.inner if parent else (), serial)
+        stack.append(node)
+        for rule in self.ending.get(tag, ()):
+            if not _reaches(stack, rule.path, len(stack) - 1, len(rule.path) - 1):
+                continue
+            values = found[rule.column]
+            if rule.take == "text":
+                node.own += (values,)
+            elif rule.take == "inner":
+                if not any(sink is values for sink in node.inner):
+                    node.inner += (values,)
+            elif rule.take in attrs:
+                values.append(attrs[rule.take])
+        if self.profile.meta_list is not None and (tag == "dt" or tag == "dd"):
+            texts: list[str] = []
+            marked = parent is not None and parent.tag == "dl"
+            meta.append(
+                {
+                    "position": len(meta),
+                    "list_id": parent.serial if parent else 0,
+                    "in_list": marked and parent.cls == self.profile.meta_list,
+                    "is_label": tag == "dt",
+                    "texts": texts,
+                }
+            )
+            node.own += (texts,)
+            if tag == "dt":
+                node.inner += (texts,)
+
+    def __call__(self, html: str) -> dict[str, list]:
+        """Values of one page by column, in page order."""
+        found: dict[str, list] = {rule.column: [] for rule in self.profile.rules}
+        meta: list[dict] = []
+        stack: list[_Open] = []
+        sinks: tuple = ()
+        at = serial = 0
+        for token in _TOKEN.finditer(html):
+            begin = token.start()
+            if sinks and begin > at:
+                value = _decode(html[at:begin])
+                for sink in sinks:
+                    sink.append(value)
+            at = token.end()
+            kind = token.lastgroup
+            if kind == "attrs":
+                tag = token["start"].lower()
+                if tag in _ENDS_P:
+                    _close(stack, ("p",), _BARRIER)
+                    if tag in _IMPLIED_END:
+                        _close(stack, *_IMPLIED_END[tag])
+                serial += 1
+                self._start(tag, token["attrs"], stack, found, meta, serial)
+                if tag in _VOID:
+                    stack.pop()
+            elif kind == "end":
+                tag = token["end"].lower()
+                if stack and stack[-1].tag == tag:
+                    stack.pop()
+                else:
+                    _close(stack, (tag,), () if tag in _BARRIER else _BARRIER)
+            elif kind == "code":
+                serial += 1
+                self._start(token["raw"].lower(), "", stack, found, meta, serial)
+                if stack[-1].own and token["code"]:
+                    for sink in stack[-1].own:
+                        sink.append(token["code"])
+                stack.pop()
+            sinks = stack[-1].own if stack else ()
+        if sinks and len(html) > at:
+            value = _decode(html[at:])
+            for sink in sinks:
                 sink.append(value)
 
-    for token in _TOKEN.finditer(html):
-        text(html[at : token.start()])
-        at = token.end()
-        tag = token["start"] or token["raw"]
-        if tag:
-            tag = tag.lower()
-            if tag in _ENDS_P:
-                _close(stack, ("p",), _BARRIER)
-            if tag in _IMPLIED_END:
-                _close(stack, *_IMPLIED_END[tag])
-            needs_attrs = token["attrs"] and token["attrs"].strip("/ \n\t")
-            attrs: dict[str, str] = {}
-            if needs_attrs:
-                for name, double, single, bare in _ATTR.findall(token["attrs"]):
-                    attrs.setdefault(name.lower(), _decode(double or single or bare))
-            parent = stack[-1] if stack else None
-            serial += 1
-            node = _Open(tag, attrs, parent.inner if parent else (), serial)
-            stack.append(node)
-            for rule in wanted.get(tag, ()):
-                if _reaches(stack, rule.path):
-                    values = found[rule.column]
-                    if rule.take == "text":
-                        node.own += (values,)
-                    elif rule.take == "inner":
-                        if not any(sink is values for sink in node.inner):
-                            node.inner += (values,)
-                    elif rule.take in attrs:
-                        values.append(attrs[rule.take])
-            if profile.meta_list is not None and tag in ("dt", "dd"):
-                texts: list[str] = []
-                in_list = (
-                    parent is not None
-                    and parent.tag == "dl"
-                    and parent.attrs.get("class") == profile.meta_list
-                )
-                meta.append(
-                    {
-                        "position": len(meta),
-                        "list_id": parent.serial if parent else 0,
-                        "in_list": in_list,
-                        "is_label": tag == "dt",
-                        "texts": texts,
-                    }
-                )
-                node.own += (texts,)
-                if tag == "dt":
-                    node.inner += (texts,)
-            if token["raw"]:
-                text(token["code"])
-                stack.pop()
-            elif tag in _VOID:
-                stack.pop()
-        elif token["end"]:
-            tag = token["end"].lower()
-            _close(stack, (tag,), () if tag in _BARRIER else _BARRIER)
-    text(html[at:])
-
-    for entry in meta:
-        if entry["is_label"]:
-            entry["texts"] = ["".join(entry["texts"])]
-    row = {
-        rule.column: found[rule.column] if rule.many else next(iter(found[rule.column]), None)
-        for rule in profile.rules
-    }
-    if profile.meta_list is not None:
-        row["meta"] = meta
-    return row
+        for entry in meta:
+            if entry["is_label"]:
+                entry["texts"] = ["".join(entry["texts"])]
+        row = {
+            rule.column: found[rule.column] if rule.many else next(iter(found[rule.column]), None)
+            for rule in self.profile.rules
+        }
+        if self.profile.meta_list is not None:
+            row["meta"] = meta
+        return row
+
+
+def parse_page(html: str, profile: Profile) -> dict[str, list]:
+    return PageParser(profile)(html)
 
 
 def parse_pages(pages: DataFrame, profile: Profile, keep: list[str] | None = None) -> DataFrame:
@@ -321,8 +340,9 @@ def parse_pages(pages: DataFrame, profile: Profile, keep: list[str] | None = Non
     }
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = PageParser(profile)
         for batch in batches:
-            rows = [parse_page(html or "", profile) for html in batch["html"].to_pylist()]
+            rows = [read(html or "") for html in batch["html"].to_pylist()]
             arrays = [batch[c] for c in keep]
             arrays += [
                 pa.array([row[name] for row in rows], dtype) for name, dtype in arrow_types.items()
