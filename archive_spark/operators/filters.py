@@ -64,8 +64,14 @@ def year_range(df: DataFrame, lo: int, hi: int, text: str = "date") -> DataFrame
 
 
 def limit_items(df: DataFrame, n: int, order_by: tuple[str, ...] = ("broadcast_order",)) -> DataFrame:
-    """The first ``n`` rows in a fixed order; 0 is no limit."""
-    return df.orderBy(*order_by).limit(n) if n > 0 else df
+    """The first ``n`` rows in a fixed order; 0 is no limit.
+
+    Ties are broken by the other columns, so that a run can be repeated.
+    """
+    if n <= 0:
+        return df
+    others = [F.col(f"`{c}`") for c in df.columns if c not in order_by]
+    return df.orderBy(*order_by, *others).limit(n)
 
 
 def require_id(df: DataFrame, column: str = "page_id") -> DataFrame:

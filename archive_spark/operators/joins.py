@@ -1,7 +1,9 @@
 """Joins of segments, programs, pages and stored files.
 
-The page, program and file sides have one row per key, so no key can multiply rows;
-a key that fills much of the other side is split by AQE's skew join.
+The page, program and file sides have one row per key, so no key can multiply rows. A
+key that fills much of the other side is salted by ``join_to_one``. AQE's own skew join
+is not enough here: it splits only joins whose two inputs are plain shuffles, and the
+one-row-per-key side usually comes out of an aggregate or a window.
 """
 
 from __future__ import annotations
@@ -12,6 +14,45 @@ from pyspark.sql import functions as F
 from ..session import BROADCAST_BYTES, fits_broadcast
 from .filters import require_key
 
+HOT_KEYS = 10_000
+HOT_ROWS = 100_000
+SALTS = 64
+
+
+def join_to_one(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join to a side with one row per key (inner, left, left_semi or left_anti).
+
+    The most frequent keys of ``left`` with ``hot_rows`` rows or more are spread over
+    ``SALTS`` partitions and only their rows of ``right`` are repeated. At most
+    ``HOT_KEYS`` keys are broadcast, which covers every key with more than a
+    1/``HOT_KEYS`` share of the rows. The salt is the number of the sending task, so a
+    task that runs again sends its rows to the same places.
+    """
+    hot = (
+        left.groupBy(key)
+        .agg(F.count("*").alias("_n"))
+        .orderBy(F.col("_n").desc(), key)
+        .limit(HOT_KEYS)
+        .filter((F.col("_n") >= hot_rows) & F.col(key).isNotNull())
+        .select(key, F.lit(True).alias("_hot"))
+    )
+    task = F.spark_partition_id() % SALTS
+    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
+    salted = (
+        left.join(F.broadcast(hot), key, "left")
+        .withColumn("_salt", F.when(spread, task).otherwise(0))
+        .drop("_hot")
+    )
+    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    repeated = (
+        right.join(F.broadcast(hot), key, "left")
+        .withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+        .drop("_hot")
+    )
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+
 
 def keep_reachable(
     pages: DataFrame, wanted: DataFrame, key: str, limit: int = BROADCAST_BYTES
@@ -35,28 +76,34 @@ def segments_with_pages(
     """Listing rows with their page; without one kept with empty texts, or dropped."""
     if missing not in ("empty", "drop"):
         raise ValueError(f"missing must be 'empty' or 'drop', not {missing!r}")
-    joined = listing.join(pages, key, "left" if missing == "empty" else "inner")
+    joined = join_to_one(listing, pages, key, "left" if missing == "empty" else "inner")
     return joined.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in texts})
 
 
 def carry_program(programs: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     """Listing rows with the attributes of their program."""
-    return listing.join(programs, key, "inner")
+    return join_to_one(listing, programs, key)
+
+
+def _distinct_keys(df: DataFrame, column: str, key: str) -> DataFrame:
+    return df.select(F.col(column).alias(key)).distinct()
 
 
 def records_with_file(df: DataFrame, files: DataFrame, key: str, file_key: str) -> DataFrame:
     """Records whose key has a stored file; keys that are missing or zero have none."""
-    return require_key(df, key).join(files, F.col(key) == F.col(file_key), "left_semi")
+    stored = _distinct_keys(files, file_key, key)
+    return join_to_one(require_key(df, key), stored, key, "left_semi")
 
 
 def records_without_file(df: DataFrame, files: DataFrame, key: str, file_key: str) -> DataFrame:
     """Records with a proper key but no stored file."""
-    return require_key(df, key).join(files, F.col(key) == F.col(file_key), "left_anti")
+    stored = _distinct_keys(files, file_key, key)
+    return join_to_one(require_key(df, key), stored, key, "left_anti")
 
 
 def broken_links(links: DataFrame, pages: DataFrame, key: str = "url_key") -> DataFrame:
     """Links whose target was never landed, with the page they stand on."""
-    return links.join(pages.select(key), key, "left_anti")
+    return join_to_one(links, _distinct_keys(pages, key, key), key, "left_anti")
 
 
 def all_segments(evening: DataFrame, special: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import host_of, resolve_all, resolve_url, time_range, url_key
 from .dedup import latest
+from .joins import join_to_one
 
 
 def exploded_links(parsed: DataFrame, hrefs: str, kind: str, list_name: str | None) -> DataFrame:
@@ -107,10 +108,14 @@ def distinct_requests(links: DataFrame) -> DataFrame:
     )
 
 
-def hop(links: DataFrame, pages: DataFrame, how: str = "inner") -> DataFrame:
+def hop(
+    links: DataFrame, pages: DataFrame, how: str = "inner", distinct: bool = False
+) -> DataFrame:
     """Follow links to their pages, which must be one per ``url_key``.
 
-    Links carry ``url_key`` too. AQE broadcasts a small side and splits a link target
-    that very many links share.
+    ``distinct`` tells that the links are ``distinct_requests``. Otherwise very many of
+    them may share a target, and such targets are salted.
     """
-    return links.join(pages, "url_key", how)
+    if distinct:
+        return links.join(pages, "url_key", how)
+    return join_to_one(links, pages, "url_key", how)

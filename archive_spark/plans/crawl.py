@@ -110,7 +110,11 @@ def programs(parsed: DataFrame) -> DataFrame:
 
 
 def evening_segments(listing: DataFrame, parsed: DataFrame, missing: str = "empty") -> DataFrame:
-    """One row per listing entry, joined to its parsed segment page by ``url_key``."""
+    """One row per listing entry, joined to its parsed segment page by ``url_key``.
+
+    ``listing`` is read twice, once to find entries that share a page very often, and
+    should be a stored table; ``parsed`` has one row per page.
+    """
     entries = require_id(
         listing.withColumn("broadcast_order", id_from_url("url")), "broadcast_order"
     ).select(
@@ -172,21 +176,20 @@ def build_segments(
 
     month_pages, _ = _parse_behind(pages, months, "month", broadcast_bytes)
     target = months.select("url_key", F.col("url").alias("link_url"))
-    month_pages = hop(target, month_pages.drop("url")).withColumnRenamed("link_url", "url")
+    month_pages = hop(target, month_pages.drop("url"), distinct=True).withColumnRenamed("link_url", "url")
     frontier = materialize(distinct_requests(allowed(segment_links(month_pages))), "frontier")
 
     first, complete = _parse_behind(pages, frontier, "broadcast", broadcast_bytes)
     first = materialize(first.drop("url"), "segment-pages")
-    visited = hop(frontier.select("url_key", "url", "list"), first)
+    visited = hop(frontier.select("url_key", "url", "list"), first, distinct=True)
     special = special_segments(visited.filter(F.col("list") == "special"))
 
     program_links = allowed(program_link(visited.filter(F.col("list") == "evening")))
     program_links = materialize(distinct_requests(program_links), "program-links")
     program_pages, _ = _parse_behind(pages, program_links, "program", broadcast_bytes)
     program_target = program_links.select("url_key", "url")
-    listing = materialize(
-        programs(hop(program_target, program_pages.drop("url"))), "listing"
-    )
+    reached = hop(program_target, program_pages.drop("url"), distinct=True)
+    listing = materialize(programs(reached), "listing")
 
     segment_pages = first
     if not complete:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest
+from ..operators.joins import join_to_one
 from .crawl import build_segments
 
 
@@ -27,8 +28,5 @@ def upsert_segments(
     ``order`` tells which of several delta rows of one key wins (the first).
     """
     order = order or [F.xxhash64(*[F.col(f"`{c}`") for c in delta.columns])]
-    newest = latest(delta, [key], order)
-    kept = base.join(newest.select(key), key, "left_anti").select(
-        *[F.col(f"`{c}`") for c in base.columns]
-    )
-    return kept.unionByName(newest)
+    kept = join_to_one(base, delta.select(key).distinct(), key, "left_anti")
+    return kept.unionByName(latest(delta, [key], order))

@@ -11,7 +11,7 @@ from archive_spark.operators.aggregates import file_match_counts, reconcile
 from archive_spark.operators.audit import id_gap_ranges, id_gaps
 from archive_spark.operators.dedup import latest_page
 from archive_spark.operators.filters import resolve_bounds, temporal_filter
-from archive_spark.operators.joins import keep_reachable
+from archive_spark.operators.joins import join_to_one, keep_reachable
 from archive_spark.operators.links import distinct_requests, exploded_links, hop
 from archive_spark.plans.crawl import parse_kind
 from archive_spark.session import scratch_path
@@ -51,7 +51,7 @@ def test_link_filter_runs_below_the_hop(spark, archive):
     start, end = resolve_bounds("2024-01-01", "2024-12-31")
     links = temporal_filter(exploded_links(parsed, "hrefs", "month", None), start, end)
     pages = parse_kind(archive, "broadcast")
-    text = plan(hop(distinct_requests(links), pages.drop("url")))
+    text = plan(hop(distinct_requests(links), pages.drop("url"), distinct=True))
     lines = text.splitlines()
     join = next(i for i, line in enumerate(lines) if "Join" in line)
     assert any(
@@ -110,6 +110,33 @@ def test_one_key_with_a_third_of_all_rows(spark):
     assert kept.filter("page_id = 7").first()["url"] == "/29997"
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(spark, how):
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 != 1, F.col("id") % 500)
+    left = spark.range(0, 12_000, 1, 6).select(key.alias("key"), "id")
+    right = spark.range(0, 400).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
+    salted = join_to_one(left, right, "key", how, hot_rows=1000)
+    text = plan(salted)
+    assert "TakeOrderedAndProject(limit=10000" in text and "spark_partition_id" in text.lower()
+    plain = left.join(right, "key", how)
+    assert salted.columns == plain.columns
+    assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_hot_key_is_spread(spark):
+    left = spark.range(0, 9000, 1, 6).select((F.col("id") * 0).alias("key"), "id")
+    right = spark.createDataFrame([(0, "a"), (1, "b")], "key long, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = join_to_one(left, right, "key", hot_rows=1000)
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in tasks) == 9000 and len(tasks) > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.mark.parametrize(
     "ids", [[5], [1, 2, 3], [-3, 0, 9, 4096, 4097, 20_000_000], [0, 2**62], list(range(0, 9000, 3))]
 )
