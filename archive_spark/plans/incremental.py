@@ -29,4 +29,5 @@ def upsert_segments(
     """
     order = order or [F.xxhash64(*[F.col(f"`{c}`") for c in delta.columns])]
     kept = join_to_one(base, delta.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(latest(delta, [key], order))
+    merged = kept.unionByName(latest(delta, [key], order))
+    return merged.select(*[F.col(f"`{c}`") for c in base.columns])
