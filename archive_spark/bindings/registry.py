@@ -37,11 +37,6 @@ def landed_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def as_text(*columns: str):
-    """Columns as text, for dates and times in compared results."""
-    return [F.col(c).cast("string").alias(c) for c in columns]
-
-
 # Printed date of an order in both dialects, for example ``Friday, May 29, 1998``.
 LONG_DATE = "EEEE, MMM dd, yyyy"
 LONG_DATE_SQL = "strftime(o_orderdate, '%A, %b %d, %Y')"

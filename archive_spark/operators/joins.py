@@ -28,7 +28,8 @@ def join_to_one(
     ``SALTS`` partitions and only their rows of ``right`` are repeated. At most
     ``HOT_KEYS`` keys are broadcast, which covers every key with more than a
     1/``HOT_KEYS`` share of the rows. The salt is the number of the sending task, so a
-    task that runs again sends its rows to the same places.
+    task that runs again sends its rows to the same places. ``left`` is read twice, the
+    first time for its key alone; store it before, if it is costly to compute.
     """
     hot = (
         left.groupBy(key)

@@ -157,6 +157,7 @@ _ENDS_P = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table "
     "td th tr ul".split()
 )
+_ENTRIES = frozenset(("dt", "dd"))
 _BARRIER = frozenset("html body table tbody thead tfoot tr td th div article nav".split())
 # Start tag -> (open elements that it ends, where to stop looking).
 _IMPLIED_END = {
@@ -227,12 +228,16 @@ class PageParser:
             self.named.add("dl")
 
     def _start(self, tag: str, raw_attrs: str, stack: list[_Open], found: dict, meta: list, serial: int):
+        parent = stack[-1] if stack else None
+        inner = parent.inner if parent else ()
+        if tag not in self.named and tag not in _ENTRIES:
+            stack.append(_Open(tag, None, inner, serial))
+            return
         attrs: dict[str, str] = {}
-        if raw_attrs and tag in self.named:
+        if raw_attrs:
             for name, double, single, bare in _ATTR.findall(raw_attrs):
                 attrs.setdefault(name.lower(), _decode(double or single or bare))
-        parent = stack[-1] if stack else None
-        node = _Open(tag, attrs.get("class"), parent.inner if parent else (), serial)
+        node = _Open(tag, attrs.get("class"), inner, serial)
         stack.append(node)
         for rule in self.ending.get(tag, ()):
             if not _reaches(stack, rule.path, len(stack) - 1, len(rule.path) - 1):
@@ -245,7 +250,7 @@ class PageParser:
                     node.inner += (values,)
             elif rule.take in attrs:
                 values.append(attrs[rule.take])
-        if self.profile.meta_list is not None and (tag == "dt" or tag == "dd"):
+        if tag in _ENTRIES and self.profile.meta_list is not None:
             texts: list[str] = []
             marked = parent is not None and parent.tag == "dl"
             meta.append(
@@ -269,12 +274,12 @@ class PageParser:
         sinks: tuple = ()
         at = serial = 0
         for token in _TOKEN.finditer(html):
-            begin = token.start()
+            begin, after = token.span()
             if sinks and begin > at:
                 value = _decode(html[at:begin])
                 for sink in sinks:
                     sink.append(value)
-            at = token.end()
+            at = after
             kind = token.lastgroup
             if kind == "attrs":
                 tag = token["start"].lower()
@@ -324,7 +329,8 @@ def parse_page(html: str, profile: Profile) -> dict[str, list]:
 def parse_pages(pages: DataFrame, profile: Profile, keep: list[str] | None = None) -> DataFrame:
     """Replace ``html`` by the columns of ``profile``; ``keep`` names the others to carry.
 
-    Narrow: no shuffle, and HTML ends here. A missing text or attribute is null, a
+    Narrow: no shuffle, and HTML ends here. Spark bounds a batch by rows and by bytes,
+    so long pages do not pile up in a task. A missing text or attribute is null, a
     missing list is empty.
     """
     keep = [c for c in (keep or pages.columns) if c != "html"]

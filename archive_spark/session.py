@@ -18,6 +18,7 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.topKSortFallbackThreshold": "1000000",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
