@@ -144,6 +144,30 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return runs, at
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Batches sorted by an integer key, cut anew so that no group is spread over two."""
+    held: list[pa.RecordBatch] = []
+    held_key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        first = int(np.argmax(column == column[-1]))
+        if held and (first or held_key != column[-1]):
+            if first:
+                held.append(batch.slice(0, first))
+            yield pa.Table.from_batches(held)
+            held = [batch.slice(first)]
+        elif first:
+            yield pa.Table.from_batches([batch.slice(0, first)])
+            held = [batch.slice(first)]
+        else:
+            held.append(batch)
+        held_key = column[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def batch_of(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)],
