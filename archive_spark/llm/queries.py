@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, licenses, packing, quality, rules, secrets, sharding
+from . import decontaminate, jaccard_join, licenses, packing, quality, rules, secrets, sharding
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -51,3 +51,9 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_jaccard_join")
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op8_benchmark_decontamination")
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.find_passages(docs, benchmark)
