@@ -24,8 +24,9 @@ CAPACITY = 2048
 MAX_SEGMENTS = 256
 MAX_LOSS = 2048
 END_ID = 1
-POOL = 1024
-CACHED_WORDS = 400_000
+POOL = 256
+CACHED_WORDS = 1_200_000
+LEARNED_AT_ONCE = 8192
 SEQUENCE_BITS = 34
 
 PIECES = pa.schema(
@@ -47,18 +48,27 @@ PIECES_DDL = (
 
 
 class WordTokenizer:
-    """Token ids of texts for a tokenizer that drops white space and never joins over it.
+    """Token ids of texts for a lower-casing tokenizer that never joins over white space.
 
     Each distinct word between blanks and line ends is encoded once and remembered, as the
-    bytes of its unsigned 32-bit ids; the memory is emptied when it is full.
+    bytes of its unsigned 32-bit ids; the memory is emptied when it is full. A worker keeps
+    its tokenizer, and so what it has learned, from task to task.
     """
 
+    kept: dict[str, WordTokenizer] = {}
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
 
+    @classmethod
+    def of(cls, path: str) -> WordTokenizer:
+        if path not in cls.kept:
+            cls.kept[path] = cls(path)
+        return cls.kept[path]
+
     def learn(self, words: list[str]) -> None:
         """Encode new words, set apart by blanks, in one call; the offsets tell them apart."""
         if len(self.known) + len(words) > CACHED_WORDS:
@@ -72,17 +82,22 @@ class WordTokenizer:
             self.known[word] = ids[low:high]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        out = []
-        for words in split:
-            new = [w for w in dict.fromkeys(words) if w not in self.known]
-            for k in range(0, len(new), 4096):
-                self.learn(new[k : k + 4096])
-            try:
-                out.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:  # the memory was emptied while this text was learned
-                out.append(b"".join(self.one(w) for w in words))
-        return out
+        split = [self.plain(t).replace("\n", " ").split(" ") for t in texts]
+        new = list(set().union(*split).difference(self.known))
+        for k in range(0, len(new), LEARNED_AT_ONCE):
+            self.learn(new[k : k + LEARNED_AT_ONCE])
+        return [self.joined(words) for words in split]
+
+    @staticmethod
+    def plain(text: str) -> str:
+        """Lower case where that cannot change an id, so that fewer words are distinct."""
+        return text.lower() if text.isascii() and "<|" not in text else text
+
+    def joined(self, words: list[str]) -> bytes:
+        try:
+            return b"".join(map(self.known.__getitem__, words))
+        except KeyError:  # the memory was emptied meanwhile
+            return b"".join(map(self.one, words))
 
     def one(self, word: str) -> bytes:
         if word not in self.known:
@@ -213,7 +228,7 @@ def pack_documents(
     columns = ["doc_id", "text", *([prompt] if prompt else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordTokenizer(tokenizer)
+        encode = WordTokenizer.of(tokenizer)
         end = array("I", [END_ID]).tobytes()
         packer = Packer(
             capacity, max_segments, max_loss, TaskContext.get().partitionId() << SEQUENCE_BITS
