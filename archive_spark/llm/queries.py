@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, licenses, packing, quality, rules, secrets, sharding
+from . import decontaminate, jaccard_join, licenses, lm_scoring, packing, quality, rules, secrets, sharding
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -57,3 +57,8 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return decontaminate.find_passages(docs, benchmark)
+
+
+@query("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, folder, "documents"))
