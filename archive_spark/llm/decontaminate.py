@@ -30,6 +30,7 @@ BLOCKS, BLOCK_BITS = 4, 16
 SIZE_RATIO = 1.12
 STEPS = 10
 LEAST_WINDOW = 8
+LONGEST_WINDOW = 256
 ITEMS_AT_ONCE = 5_000
 
 FOUND = pa.schema(
@@ -58,25 +59,37 @@ def nearby(bits: int, radius: int) -> np.ndarray:
 def window_size(words: int) -> int:
     """The size out of a fixed geometric row that is nearest to a number of words."""
     step = max(0, round(math.log(max(words, 1) / LEAST_WINDOW) / math.log(SIZE_RATIO)))
-    return round(LEAST_WINDOW * SIZE_RATIO**step)
+    return min(LONGEST_WINDOW, round(LEAST_WINDOW * SIZE_RATIO**step))
+
+
+# Each bit of a byte as a byte of its own, so that eight counts run in one 64-bit integer.
+SPREAD = np.array(
+    [sum(1 << (8 * k) for k in range(8) if byte >> k & 1) for byte in range(256)], np.uint64
+)
 
 
 def bit_sums(words: Words) -> np.ndarray:
-    """Running sums, for each of 64 bits, of +1 or -1 over the word pairs of a run of texts."""
+    """Running counts of each of 64 bits over the word pairs of a run of texts.
+
+    Eight rows of eight counts packed into an integer. Counts run over into each other, but
+    the difference of two places is exact while each bit is set less than 256 times between
+    them, which windows of so many pairs ensure.
+    """
     h = words.h
     pairs = chained(h[:-1], h[1:]) if len(h) > 1 else np.zeros(0, np.uint64)
-    bits = np.unpackbits(pairs.view(np.uint8)).reshape(-1, 64).astype(np.int16)
-    sums = np.zeros((len(pairs) + 1, 64), np.int16)
-    np.cumsum(2 * bits - 1, axis=0, dtype=np.int16, out=sums[1:])
+    sums = np.zeros((8, len(pairs) + 1), np.uint64)
+    np.cumsum(SPREAD[pairs.view(np.uint8).reshape(-1, 8).T], axis=1, out=sums[:, 1:])
     return sums
 
 
 def fingerprints(sums: np.ndarray, start: int, step: int, pairs: int) -> np.ndarray:
     """SimHash of the windows of ``pairs`` word pairs at ``start``, ``start + step``, ..."""
-    ahead = sums[start + pairs :: step]
-    behind = sums[start :: step][: len(ahead)]
-    signs = np.packbits(ahead > behind, axis=1)
-    return np.ascontiguousarray(signs).view(np.uint64).ravel()
+    if pairs >= LONGEST_WINDOW:
+        raise ValueError("windows are too long for their counts")
+    ahead = sums[:, start + pairs :: step]
+    counts = ahead - sums[:, start::step][:, : ahead.shape[1]]
+    signs = np.packbits((counts.view(np.uint8) > pairs // 2).ravel(), bitorder="little")
+    return np.ascontiguousarray(signs.reshape(8, -1).T).view(np.uint64).ravel()
 
 
 class Items:
@@ -99,8 +112,8 @@ class Items:
         by_size: dict[int, list[int]] = {}
         for k, (first, n) in enumerate(zip(words.first.tolist(), words.count.tolist())):
             if n:
-                pairs = max(n - 1, 0)
-                window = sums[first : first + pairs + 1]
+                pairs = min(n, LONGEST_WINDOW) - 1
+                window = sums[:, first : first + pairs + 1]
                 self.prints[k] = fingerprints(window, 0, 1, pairs)[0]
                 for near in {window_size(n), window_size(round(n * 1.06)), window_size(round(n / 1.06))}:
                     by_size.setdefault(near, []).append(k)
@@ -123,14 +136,15 @@ class Items:
         """(window, item, distance) of all pairs within the radius, some more than once."""
         found = [(np.zeros(0, np.int64),) * 3]
         for b, (starts, items) in enumerate(self.index[size]):
-            value = (prints >> np.uint64(b * BLOCK_BITS)).astype(np.int64) & 0xFFFF
+            value = prints.view(np.uint16)[b::BLOCKS]
             low = starts[value]
-            many = starts[value + 1] - low
-            window = np.repeat(np.arange(len(prints)), many)
-            if not len(window):
+            many = starts[1:][value] - low
+            some = np.flatnonzero(many)
+            if not len(some):
                 continue
-            place = np.arange(len(window)) - np.repeat(np.cumsum(many) - many, many)
-            item = items[np.repeat(low, many) + place]
+            low, many = low[some], many[some]
+            window = np.repeat(some, many)
+            item = items[np.arange(len(window)) + np.repeat(low - np.cumsum(many) + many, many)]
             distance = np.bitwise_count(prints[window] ^ self.prints[item])
             keep = distance <= self.radius
             found.append((window[keep], item[keep], distance[keep].astype(np.int64)))
@@ -152,7 +166,7 @@ def _search(texts: list[bytes], items: Items, threshold: float) -> list[tuple]:
         return []
     longest = max(items.index, default=0)
     sums = bit_sums(words)
-    sums = np.concatenate([np.repeat(sums[:1], longest, 0), sums, np.repeat(sums[-1:], longest, 0)])
+    sums = np.pad(sums, ((0, 0), (longest, longest)), "edge")
     best: dict[tuple[int, int], tuple] = {}
     for size in items.index:
         step = max(1, size // STEPS)
@@ -171,7 +185,8 @@ def _search(texts: list[bytes], items: Items, threshold: float) -> list[tuple]:
                 tried.add((doc, k, low // (margin + 1)))
                 begin = int(words.first[doc])
                 s = max(low - margin, begin)
-                e = min(high + margin, begin + int(words.count[doc]))
+                rest = max(0, int(items.count[k]) - size)
+                e = min(high + margin + rest, begin + int(words.count[doc]))
                 part = words.h[s:e]
                 if len(part) >= SHINGLE:
                     n = len(part) - SHINGLE + 1
@@ -200,7 +215,8 @@ def find_passages(
     words has one shingle of all its words, which is found in a document of just these
     words. ``first_word`` and ``n_words`` give that stretch.
 
-    Items are searched for in groups of at most ``items_at_once``, whose index is the only
+    An item longer than the longest window is looked for by its beginning. Items are searched
+    for in groups of at most ``items_at_once``, whose index is the only
     thing sent to all workers; more items mean more passes over the documents. Missing and
     empty texts hold nothing, repeated rows are searched each, items without words or id are
     left out, an empty table on either side gives no rows. Columns other than doc_id,

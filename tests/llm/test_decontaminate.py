@@ -105,3 +105,12 @@ def test_odd_rows(spark):
     left = dc.without_passages(documents(spark), bench)
     assert left.columns == documents(spark).columns
     assert left.count() == len(TEXTS) - 4
+
+
+def test_items_longer_than_any_window(spark):
+    rng = random.Random(9)
+    long = " ".join(f"w{rng.randrange(900)}" for _ in range(700))
+    texts = ["before it " * 9 + long + " after it" * 9, long, " ".join(long.split()[:300])]
+    bench = spark.createDataFrame([(5, long)], "item_id long, text string")
+    got = dc.find_passages(documents(spark, texts, extra=False), bench).collect()
+    assert {r.doc_id for r in got} == {0, 1, None}
