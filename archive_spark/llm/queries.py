@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, licenses, lm_scoring, packing, quality, rules, secrets, sharding
+from . import decontaminate, jaccard_join, licenses, lm_scoring, packing, quality, rules, secrets, sharding, suffix_dedup
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -62,3 +62,8 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 @query("op1_lm_scoring")
 def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, folder, "documents"))
+
+
+@query("op10_suffix_array_dedup")
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
