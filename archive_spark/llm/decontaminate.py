@@ -19,7 +19,6 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .text import PLAIN, Words, batch_of, chained, pieces, shingles, utf8, values
 
@@ -222,14 +221,9 @@ def find_passages(
     left out, an empty table on either side gives no rows. Columns other than doc_id,
     item_id and text are not looked at.
     """
-    spark = docs.sparkSession
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    known = benchmark.filter("item_id is not null and text is not null")
-    known = known.select(benchmark["item_id"].cast("long").alias("item_id"), "text")
-
-    def found_of(group: list[tuple[int, bytes]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(Items(group, radius))
 
+    def found_of(shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = shared.value
             for batch in batches:
@@ -244,19 +238,45 @@ def find_passages(
 
         return rows.mapInArrow(run, FOUND_DDL)
 
+    groups = _item_groups(benchmark, radius, items_at_once)
+    return reduce(DataFrame.unionByName, (found_of(shared) for shared in groups))
+
+
+def _item_groups(benchmark: DataFrame, radius: int, items_at_once: int) -> Iterator:
+    """Broadcast indexes of at most ``items_at_once`` items; one of none for no items."""
+    context = benchmark.sparkSession.sparkContext
+    known = benchmark.filter("item_id is not null and text is not null")
+    known = known.select(benchmark["item_id"].cast("long").alias("item_id"), "text")
     group: list[tuple[int, bytes]] = []
-    results: list[DataFrame] = []
+    sent = False
     for row in known.toLocalIterator():
         group.append((row["item_id"], row["text"].encode()))
         if len(group) == items_at_once:
-            results.append(found_of(group))
-            group = []
-    if group or not results:
-        results.append(found_of(group))
-    return reduce(DataFrame.unionByName, results)
+            yield context.broadcast(Items(group, radius))
+            group, sent = [], True
+    if group or not sent:
+        yield context.broadcast(Items(group, radius))
+
+
+def without_passages(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    radius: int = RADIUS,
+    items_at_once: int = ITEMS_AT_ONCE,
+) -> DataFrame:
+    """The documents, with all their columns, that hold no benchmark item; nothing is shuffled."""
+
+    def filtered(rows: DataFrame, shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = utf8(batch, "text")
+                keep = np.ones(len(texts), bool)
+                for piece in pieces(texts):
+                    for doc, *_ in _search(texts[piece], shared.value, threshold):
+                        keep[piece.start + doc] = False
+                yield batch.filter(pa.array(keep))
 
+        return rows.mapInArrow(run, rows.schema)
 
-def without_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    held = find_passages(docs, benchmark).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, docs["doc_id"].eqNullSafe(held["_held"]), "left_anti")
+    return reduce(filtered, _item_groups(benchmark, radius, items_at_once), docs)

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import materialize
 from .components import components
@@ -215,25 +216,10 @@ def _verified(candidates: DataFrame, texts: DataFrame, threshold: float) -> Data
     return rows.mapInArrow(run, "key binary, links long, parent binary")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    threshold: float = THRESHOLD,
-    trees: int = TREES,
-    depth: int = DEPTH,
-    recall: float = RECALL,
-    block: int = BLOCK,
-) -> DataFrame:
-    """(doc_id, class_id, n_links) of every document.
-
-    Two documents are linked if the Jaccard similarity of their sets of 5-word shingles
-    (small letters, words between white space) is ``threshold`` or more, or if their texts
-    are equal. ``class_id`` is the smallest doc_id of all documents that links connect,
-    ``n_links`` the number of other documents linked to this one. A text of 1 to 4 words has
-    one shingle of all of them; texts without a word, missing ones included (a missing text
-    counts as an empty one), are linked to equal texts only. Repeated rows are documents of
-    their own. A class of rows without doc_id has no class_id. An empty table gives no rows;
-    columns other than doc_id and text are not looked at.
-    """
+def _classified(
+    docs: DataFrame, threshold: float, trees: int, depth: int, recall: float, block: int
+) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: (doc_id, key, ...) of every row, and every text's root, ids and links."""
     length = prefix_length(threshold, trees, depth, recall)
     signed = materialize(signed_documents(docs, trees, length), "signatures")
     entries = signed.groupBy("key").agg(
@@ -251,10 +237,11 @@ def near_duplicates(
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(docs["doc_id"].cast("long").alias("least_id"), text.alias("text"))
     keyed = keyed.withColumn("key", F.unhex(F.md5("text")))
-    by_id = wanted.join(keyed, ["least_id", "key"]).select("key", "copies", "text").dropDuplicates(["key"])
+    texts = wanted.join(keyed, ["least_id", "key"]).select("key", "copies", "text").dropDuplicates(["key"])
     nameless = wanted.filter("least_id is null").select("key", "copies")
-    by_key = nameless.join(keyed.select("key", "text"), "key").dropDuplicates(["key"])
-    texts = by_id.unionByName(by_key)
+    if not nameless.isEmpty():
+        by_key = nameless.join(keyed.select("key", "text"), "key").dropDuplicates(["key"])
+        texts = texts.unionByName(by_key)
 
     verified = materialize(_verified(candidates, texts, threshold), "verified-links")
     roots = components(verified.select(F.col("key").alias("a"), F.col("parent").alias("b")))
@@ -264,11 +251,60 @@ def near_duplicates(
         .join(links, "key", "left")
         .join(roots.withColumnRenamed("node", "key"), "key", "left")
         .withColumn("root", F.coalesce("root", "key"))
+        .withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
     )
-    joined = materialize(joined, "linked-entries")
-    classes = joined.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    by_entry = joined.join(classes, "root").select(
-        "key", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
-    )
+    return signed, materialize(joined, "linked-entries")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    recall: float = RECALL,
+    block: int = BLOCK,
+) -> DataFrame:
+    """(doc_id, class_id, n_links) of every document.
+
+    Two documents are linked if the Jaccard similarity of their sets of 5-word shingles
+    (small letters, words between white space) is ``threshold`` or more, or if their texts
+    are equal. ``class_id`` is the smallest doc_id of all documents that links connect,
+    ``n_links`` the number of other documents linked to this one. A text of 1 to 4 words has
+    one shingle of all of them; texts without a word, missing ones included (a missing text
+    counts as an empty one), are linked to equal texts only. Repeated rows are documents of
+    their own. A class of rows without doc_id has no class_id. An empty table gives no rows;
+    columns other than doc_id and text are not looked at.
+    """
+    signed, entries = _classified(docs, threshold, trees, depth, recall, block)
+    classes = entries.groupBy("root").agg(F.min("least_id").alias("class_id"))
+    by_entry = entries.join(classes, "root").select("key", "class_id", "n_links")
     by_entry = materialize(by_entry, "classes")
     return signed.select("doc_id", "key").join(by_entry, "key").select("doc_id", "class_id", "n_links")
+
+
+def one_of_each(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    recall: float = RECALL,
+    block: int = BLOCK,
+) -> DataFrame:
+    """The documents without near duplicates: of each class the one with the smallest doc_id.
+
+    Classes are those of ``near_duplicates``. Rows without doc_id stay only in classes in
+    which no row has one; of rows equal in doc_id and text one stays.
+    """
+    signed, entries = _classified(docs, threshold, trees, depth, recall, block)
+    first = F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id"), F.col("key"))
+    kept = entries.groupBy("root").agg(F.min(first).alias("kept"))
+    kept = materialize(kept.select(F.col("kept.least_id").alias("_id"), F.col("kept.key").alias("_key")), "kept")
+    key = F.unhex(F.md5(F.coalesce(docs["text"], F.lit(""))))
+    held = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (key == kept["_key"]), "left_semi")
+    repeated = signed.groupBy("doc_id", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    if repeated.isEmpty():
+        return held
+    number = F.row_number().over(
+        Window.partitionBy("doc_id", F.md5(F.coalesce("text", F.lit("")))).orderBy(F.lit(0))
+    )
+    return held.withColumn("_row_of_document", number).filter("_row_of_document = 1").drop("_row_of_document")

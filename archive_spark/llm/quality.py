@@ -252,3 +252,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, whose score reaches ``threshold``."""
+    stats = materialize(document_statistics(docs), "text-statistics")
+    model = fit(materialize(training_rows(stats, labels), "labelled-statistics"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                stats = np.array([text_statistics(t) for t in utf8(batch, "text")])
+                yield batch.filter(pa.array(model.score(stats) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

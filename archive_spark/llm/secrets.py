@@ -290,3 +290,14 @@ def redact(text: Column, ratios: list[float]) -> Column:
     for kind in PATTERNS:
         text = step(text, SEARCHED[kind], long_enough(kind))
     return step(text, TOKEN, lambda m, k: looks_random(m, ratios))
+
+
+def mask_secrets(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:
+    """The documents with secrets in their texts masked; ``n_chars``, if there, follows the text."""
+    ratios = train(labelled_strings(docs)) if ratios is None else ratios
+    masked = docs.withColumn("text", redact(F.col("text"), ratios))
+    if "n_chars" in docs.columns:
+        # Nothing but a mask changes a text, and a mask can be told by its own characters.
+        length = F.when(F.contains("text", F.lit(MASK)), F.length("text").cast("bigint"))
+        masked = masked.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
+    return masked
