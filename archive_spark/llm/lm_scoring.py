@@ -148,7 +148,8 @@ def train(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         counts = np.add.reduceat(counts, first)
         keys, total = keys[first], int(counts.sum())
         if kind == WORD:
-            row = (kind, part, keys.tobytes(), counts.tobytes(), len(keys), total)
+            narrow = counts.astype(np.uint32) if counts.max() < 1 << 32 else counts
+            row = (kind, part, keys.tobytes(), narrow.tobytes(), len(keys), total)
         else:
             words, entries = filter_of(keys, counts)
             row = (kind, part, words.tobytes(), b"", entries, total)
@@ -159,23 +160,35 @@ def train(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 
 
 class Parts:
-    """Some parts of a model, ready to look up."""
+    """Some parts of a model, ready to look up.
 
-    def __init__(self, bits: int, rows: list):
+    ``sizes`` has the bytes of ``keys`` and ``counts`` by (kind, part), ``rows`` the parts in
+    any order. Each goes straight to its place, so nothing is held twice.
+    """
+
+    def __init__(self, bits: int, sizes: dict[tuple[int, int], tuple[int, int]], rows):
         self.shift = np.uint64(64 - bits)
-        words = sorted((r for r in rows if r["kind"] == WORD), key=lambda r: r["part"])
-        pairs = sorted((r for r in rows if r["kind"] == PAIR), key=lambda r: r["part"])
-        none = [np.zeros(0, np.uint64)]
-        self.keys = np.concatenate([*(np.frombuffer(r["keys"], np.uint64) for r in words), *none])
-        self.counts = np.concatenate([*(np.frombuffer(r["counts"], np.uint64) for r in words), *none])
-        filters = [np.frombuffer(r["keys"], np.uint64) for r in pairs]
-        self.filter = np.concatenate([*filters, *none])
         self.size = np.zeros(1 << bits, np.int64)
         self.offset = np.zeros(1 << bits, np.int64)
-        at = 0
-        for r, f in zip(pairs, filters):
-            self.size[r["part"]], self.offset[r["part"]] = len(f), at
-            at += len(f)
+        start, held, wide = {}, {WORD: 0, PAIR: 0}, False
+        for kind, part in sorted(sizes):
+            n, counts = sizes[kind, part][0] // 8, sizes[kind, part][1]
+            start[kind, part] = held[kind]
+            held[kind] += n
+            wide |= kind == WORD and counts > 4 * n
+            if kind == PAIR:
+                self.size[part], self.offset[part] = n, start[kind, part]
+        self.keys = np.empty(held[WORD], np.uint64)
+        self.counts = np.empty(held[WORD], np.uint64 if wide else np.uint32)
+        self.filter = np.empty(held[PAIR], np.uint64)
+        for r in rows:
+            at, n = start[r["kind"], r["part"]], len(r["keys"]) // 8
+            if r["kind"] == PAIR:
+                self.filter[at : at + n] = np.frombuffer(r["keys"], np.uint64)
+            else:
+                width = np.uint32 if len(r["counts"]) == 4 * n else np.uint64
+                self.keys[at : at + n] = np.frombuffer(r["keys"], np.uint64)
+                self.counts[at : at + n] = np.frombuffer(r["counts"], width)
 
     def word_counts(self, h: np.ndarray) -> np.ndarray:
         """Exact count of each word; 0 for one that is not in these parts."""
@@ -183,7 +196,7 @@ class Parts:
             return np.zeros(len(h), np.uint64)
         distinct, back = np.unique(h, return_inverse=True)
         at = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
-        return np.where(self.keys[at] == distinct, self.counts[at], np.uint64(0))[back]
+        return np.where(self.keys[at] == distinct, self.counts[at].astype(np.uint64), np.uint64(0))[back]
 
     def levels(self, pairs: np.ndarray) -> np.ndarray:
         """Level of each pair by repeated probes; 0 if it is not in these parts."""
@@ -252,21 +265,23 @@ def score_documents(
         "bits",
         "entries",
         "total",
-        (F.octet_length("keys") + F.octet_length("counts")).cast("bigint").alias("bytes"),
+        F.octet_length("keys").alias("key_bytes"),
+        F.octet_length("counts").alias("count_bytes"),
     ).collect()
     bits = parts[0]["bits"] if parts else 4
     n = sum(p["total"] for p in parts if p["kind"] == WORD)
     v = sum(p["entries"] for p in parts if p["kind"] == WORD)
     n_docs = learned.count()
+    sizes = {(p["kind"], p["part"]): (p["key_bytes"], p["count_bytes"]) for p in parts}
 
     groups: list[list[tuple[int, int]]] = [[]]
     held = 0
-    for p in sorted(parts, key=lambda p: (p["kind"], p["part"])):
-        if held and held + p["bytes"] > broadcast_bytes:
+    for place in sorted(sizes):
+        if held and held + sum(sizes[place]) > broadcast_bytes:
             groups.append([])
             held = 0
-        groups[-1].append((p["kind"], p["part"]))
-        held += p["bytes"]
+        groups[-1].append(place)
+        held += sum(sizes[place])
 
     def parts_of(group: list[tuple[int, int]]):
         low, high = (min(group), max(group)) if group else ((0, 1), (0, 0))
@@ -275,8 +290,8 @@ def score_documents(
             F.struct(F.lit(low[0]).alias("kind"), F.lit(low[1]).alias("part")),
             F.struct(F.lit(high[0]).alias("kind"), F.lit(high[1]).alias("part")),
         )
-        own = table.filter(inside).select("kind", "part", "keys", "counts").collect()
-        return spark.sparkContext.broadcast(Parts(bits, own))
+        own = table.filter(inside).select("kind", "part", "keys", "counts").toLocalIterator()
+        return spark.sparkContext.broadcast(Parts(bits, {p: sizes[p] for p in group}, own))
 
     carried = pa.schema(
         [

@@ -78,14 +78,20 @@ def test_many_groups_give_the_same_scores(spark):
         assert abs(r[6] - same[r[0]][6]) <= 0.02 * abs(r[6]) + 0.5
 
 
+def parts_with(filter_):
+    """A model with the same filter in each of 16 parts."""
+    sizes = {(lm_scoring.PAIR, p): (len(filter_) * 8, 0) for p in range(16)}
+    rows = [{"kind": lm_scoring.PAIR, "part": p, "keys": filter_.tobytes()} for p in range(16)]
+    return lm_scoring.Parts(4, sizes, rows)
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.dictionaries(st.integers(0, 2**64 - 1), st.integers(1, 5000), min_size=1, max_size=60))
 def test_levels_are_never_too_low(counts):
     keys = np.array(sorted(counts), np.uint64)
     seen = np.array([counts[int(k)] for k in keys], np.uint64)
     filter_, entries = lm_scoring.filter_of(keys, seen)
-    rows = [{"kind": 1, "part": p, "keys": filter_.tobytes()} for p in range(16)]
-    got = lm_scoring.Parts(4, rows).levels(keys)
+    got = parts_with(filter_).levels(keys)
     assert all(g >= 1 + int(math.log2(counts[int(k)])) for g, k in zip(got, keys))
     assert entries == sum(1 + int(math.log2(c)) for c in counts.values())
 
@@ -94,5 +100,4 @@ def test_few_false_answers():
     rng = np.random.default_rng(4)
     keys = np.unique(rng.integers(0, 2**64, 50_000, dtype=np.uint64))
     filter_, _ = lm_scoring.filter_of(keys, np.ones(len(keys), np.uint64))
-    parts = lm_scoring.Parts(4, [{"kind": 1, "part": p, "keys": filter_.tobytes()} for p in range(16)])
-    assert (parts.levels(rng.integers(0, 2**64, 50_000, dtype=np.uint64)) > 0).mean() < 0.02
+    assert (parts_with(filter_).levels(rng.integers(0, 2**64, 50_000, dtype=np.uint64)) > 0).mean() < 0.02
