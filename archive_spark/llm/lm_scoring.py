@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .text import Words, batch_of, chained, fold, mix, mixed_int, pieces, utf8, values
+from .text import Words, batch_of, chained, fold, mix, mixed_int, pieces, small, utf8, values
 
 FOLDS = 10
 PSEUDO_COUNT = 0.1
@@ -30,7 +30,7 @@ CONTEXT_WEIGHT = 200.0
 BITS_PER_ENTRY = 12
 PROBES = 5
 PART_BYTES = 4 << 20
-FLUSH_KEYS = 3_000_000
+FLUSH_KEYS = 1_500_000
 BROADCAST_BYTES = 256 << 20
 
 WORD, PAIR = 0, 1
@@ -89,7 +89,7 @@ def count_parts(docs: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {WORD: [], PAIR: []}
         waiting = 0
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch, "text")
             for piece in pieces(texts):
                 tokens = Tokens(texts[piece])
@@ -327,7 +327,7 @@ def score_documents(
 
     def carry(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in small(batches):
                 texts = utf8(batch, "text")
                 counts: list[bytes] = []
                 levels: list[bytes] = []
@@ -343,7 +343,7 @@ def score_documents(
 
     def finish(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in small(batches):
                 texts = utf8(batch, "text")
                 out: list[list] = [[], [], [], []]
                 for piece in pieces(texts):

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
+BATCH_ROWS = 1000
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -32,6 +33,13 @@ def values(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that less is unpacked at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The texts of a column as UTF-8 bytes; a missing text is empty."""
     column = batch.column(batch.schema.get_field_index(name))
