@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import PLAIN, Words, batch_of, chained, pieces, shingles, utf8, values
+from .text import PLAIN, Words, batch_of, chained, pieces, shingles, small, utf8, values
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -226,7 +226,7 @@ def find_passages(
     def found_of(shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            for batch in batches:
+            for batch in small(batches):
                 texts = utf8(batch, "text")
                 ids = values(batch, "doc_id")
                 out = []
@@ -269,7 +269,7 @@ def without_passages(
 
     def filtered(rows: DataFrame, shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in small(batches):
                 texts = utf8(batch, "text")
                 keep = np.ones(len(texts), bool)
                 for piece in pieces(texts):

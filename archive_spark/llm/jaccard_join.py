@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from ..session import materialize
 from .components import components
-from .text import Words, batch_of, mix, pieces, shingles, utf8, values, whole_groups
+from .text import Words, batch_of, mix, pieces, shingles, small, utf8, values, whole_groups
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -73,7 +73,7 @@ def signed_documents(docs: DataFrame, trees: int, length: int) -> DataFrame:
     """Digest, trie nodes and sketch of each document; no nodes without a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch, "text")
             nodes: list = [None] * len(texts)
             sketch: list = [None] * len(texts)

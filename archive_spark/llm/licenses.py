@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import PLAIN, batch_of, pieces, utf8, values
+from .text import PLAIN, batch_of, pieces, small, utf8, values
 
 # Phrases and their labels.
 PHRASES = {
@@ -233,7 +233,7 @@ def scan_licenses(
             (label, [ids.setdefault(w, len(ids)) for w in plain_words(p.encode())])
             for p, label in PHRASES.items()
         ]
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch, "text")
             rows: list[tuple] = []
             for piece in pieces(texts):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .text import IS_SPACE, batch_of, fold, utf8, values
+from .text import IS_SPACE, batch_of, fold, small, utf8, values
 
 FEATURES = 384
 RIDGE = 1e-2
@@ -82,7 +82,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("stats", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             stats = [text_statistics(t) for t in utf8(batch, "text")]
             yield batch_of(schema, [values(batch, "doc_id"), stats])
 
@@ -260,7 +260,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     model = fit(materialize(training_rows(stats, labels), "labelled-statistics"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             if batch.num_rows:
                 stats = np.array([text_statistics(t) for t in utf8(batch, "text")])
                 yield batch.filter(pa.array(model.score(stats) >= threshold))
