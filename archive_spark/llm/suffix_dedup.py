@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .text import Prefix, batch_of, mix, pieces, utf8, values, whole_groups
+from .text import Prefix, batch_of, mix, pieces, small, utf8, values
 
 LENGTH = 100
 ANCHOR = 50
 SLOT_BITS = 27
-PART_BYTES = 4 << 20
-FLUSH_BYTES = 8 << 20
-BLOCK_BYTES = 1 << 20
+PART_BYTES = 1 << 20
+FLUSH_BYTES = 6 << 20
+BLOCK_BYTES = 1 << 18
 # An anchor with so many different contexts is handled string by string instead.
 HOT_CONTEXTS = 50_000
 
@@ -38,25 +38,32 @@ _PLACE_BITS = 31
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
 _SEED = np.uint64(0xA24BAED4963EE407)
 
-ANCHORS = pa.schema(
-    [
-        ("group", pa.int64()),
-        ("kind", pa.int32()),
-        ("ch", pa.int64()),
-        ("id", pa.int64()),
-        ("tie", pa.int64()),
-        ("low", pa.int64()),
-        ("high", pa.int64()),
-        ("context", pa.binary()),
-    ]
-)
-ANCHORS_DDL = (
-    "group long, kind int, ch long, id long, tie long, low long, high long, context binary"
+# Anchors (kind 0) and ranges (kind 1) of a part of the hash values, packed and compressed.
+PACKED = pa.schema(
+    [("part", pa.int32()), ("kind", pa.int32()), ("size", pa.int64()), ("packed", pa.binary())]
 )
+PACKED_DDL = "part int, kind int, size long, packed binary"
 RANGES = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 RANGES_DDL = "id long, tie long, low long, high long"
 
 
+def _zstd() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=6)
+
+
+def packed(part: int, kind: int, columns: list[np.ndarray], tail: bytes = b"") -> tuple:
+    """A row of ``PACKED``: 64-bit columns of equal length, then any bytes."""
+    whole = np.int64(len(columns[0])).tobytes() + b"".join(c.tobytes() for c in columns) + tail
+    return part, kind, len(whole), _zstd().compress(whole, asbytes=True)
+
+
+def unpacked(size: int, blob: bytes, n_columns: int) -> tuple[list[np.ndarray], bytes]:
+    whole = pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True)
+    n = int(np.frombuffer(whole, np.int64, 1)[0])
+    columns = np.frombuffer(whole, np.int64, n * n_columns, 8).reshape(n_columns, n)
+    return list(columns), whole[8 + 8 * n * n_columns :]
+
+
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours, by running minima from both sides of blocks."""
     n = len(x)
@@ -103,13 +110,25 @@ class Contexts:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Texts with the order of documents: by id, a missing one first, then by hash of the text."""
+    """Texts with the order of documents: by id, a missing one first, then by ``tie``.
+
+    That is a hash of the text, or 0 if no id stands twice.
+    """
     text = F.coalesce("text", F.lit(""))
-    return docs.select(
+    rows = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"),
         F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))).alias("id"),
-        F.xxhash64(text).alias("tie"),
         text.alias("text"),
     )
+    repeated = rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
+    unique = repeated.isEmpty()
+    return rows.withColumn("tie", F.lit(0).cast("long") if unique else F.xxhash64("text"))
+
+
+def _part_bits(rows: DataFrame, part_bytes: int) -> int:
+    """Bits of a hash that name its part, so that parts hold about so many bytes of text."""
+    size = rows.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
+    return min(SLOT_BITS - 3, max(4, (max(1, size) // part_bytes).bit_length()))
 
 
 class Filter:
@@ -123,10 +142,8 @@ class Filter:
         return (self.planes[:, slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
 
 
-def anchor_filter(rows: DataFrame, hot: int, part_bytes: int = PART_BYTES) -> Filter:
+def anchor_filter(rows: DataFrame, hot: int, bits: int) -> Filter:
     """Counts anchors over all texts; the driver gets three bits for each of 2^27 slots."""
-    size = rows.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
-    bits = min(SLOT_BITS - 3, max(4, (max(1, size) // part_bytes).bit_length()))
     part = pa.schema([("part", pa.int32()), ("seen", pa.binary())])
 
     def flushed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +160,7 @@ def anchor_filter(rows: DataFrame, hot: int, part_bytes: int = PART_BYTES) -> Fi
         held: list[np.ndarray] = []
         waiting = 0
         upper = np.uint64(0xFFFFFFFF00000000)
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch, "text")
             for piece in pieces(texts):
                 c = Contexts(texts[piece])
@@ -182,6 +199,40 @@ def anchor_filter(rows: DataFrame, hot: int, part_bytes: int = PART_BYTES) -> Fi
     return Filter(planes)
 
 
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, first byte highest, zeros at the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.zeros(len(data), np.uint64)
+    for k in range(8):
+        words |= padded[k : k + len(data)].astype(np.uint64) << np.uint64(56 - 8 * k)
+    return words
+
+
+def direct_order(data: np.ndarray, suffixes: np.ndarray, depth: int) -> np.ndarray:
+    """``suffixes`` sorted by their first ``depth`` bytes or more, eight bytes at a time.
+
+    After each step only suffixes that are still equal to a neighbour are sorted further.
+    """
+    words = np.concatenate([eight_bytes(data), np.zeros(depth + 8, np.uint64)])
+    suffixes = suffixes[np.argsort(words[suffixes], kind="stable")]
+    tied = np.arange(len(suffixes))
+    group = np.zeros(len(suffixes), np.int64)
+    for k in range(0, depth, 8):
+        key = words[suffixes[tied] + k]
+        if k:
+            sort = np.lexsort((key, group))
+            suffixes[tied] = suffixes[tied[sort]]
+            key, group = key[sort], group[sort]
+        new = np.ones(len(tied), bool)
+        new[1:] = (key[1:] != key[:-1]) | (group[1:] != group[:-1])
+        alone = new & np.append(new[1:], True)
+        group = np.cumsum(new)[~alone]
+        tied = tied[~alone]
+        if not len(tied):
+            break
+    return suffixes
+
+
 def two_stage_order(data: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of ``data`` in the order of at least their first ``depth`` bytes.
 
@@ -195,10 +246,7 @@ def two_stage_order(data: np.ndarray, depth: int) -> np.ndarray:
     step = np.diff(data.astype(np.int16), append=np.int16(256))
     change = np.flatnonzero(step)
     smaller = (step[change] > 0)[np.searchsorted(change, np.arange(n))]
-    padded = np.concatenate([data, np.zeros(depth, np.uint8)])
-    direct = np.flatnonzero(smaller)
-    keys = np.lib.stride_tricks.sliding_window_view(padded, depth)[direct]
-    direct = direct[np.argsort(np.ascontiguousarray(keys).view(f"S{depth}").ravel(), kind="stable")]
+    direct = direct_order(data, np.flatnonzero(smaller), depth)
     by_byte = np.searchsorted(data[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     order = []
@@ -224,9 +272,7 @@ def two_stage_order(data: np.ndarray, depth: int) -> np.ndarray:
 
 def common_prefixes_reach(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
     """Whether the suffixes at ``a`` and ``b``, pair by pair, share their first ``length`` bytes."""
-    words = np.zeros(max(0, len(data) - 7), np.uint64)
-    for k in range(8):
-        words |= data[k : k + len(words)].astype(np.uint64) << np.uint64(8 * k)
+    words = eight_bytes(data)
     alive = np.arange(len(a))
     for k in [*range(0, length - 8, 8), length - 8]:
         alive = alive[words[a[alive] + k] == words[b[alive] + k]]
@@ -272,7 +318,7 @@ def _runs(starts: np.ndarray) -> Iterator[tuple[int, int]]:
         yield int(starts[a]), int(starts[b - 1]) + LENGTH
 
 
-def _anchor_rows(rows: DataFrame, shared) -> DataFrame:
+def _anchor_rows(rows: DataFrame, shared, bits: int) -> DataFrame:
     """Repeated anchors of all texts; those equal to an earlier one of the task as ranges."""
 
     def flushed(held: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -291,19 +337,15 @@ def _anchor_rows(rows: DataFrame, shared) -> DataFrame:
         again = np.cumsum(head | moved)
         later = again > again[block]
         keep = np.flatnonzero(head)
-        yield batch_of(
-            ANCHORS,
-            [
-                kh[keep].view(np.int64),
-                np.zeros(len(keep), np.int32),
-                ch[keep].view(np.int64),
-                ids[keep],
-                tie[keep],
-                low[keep],
-                high[keep],
-                [contexts[order[k]] for k in keep],
-            ],
-        )
+        part = (kh[keep] >> np.uint64(64 - bits)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        out = []
+        for a, b in zip(cuts, [*cuts[1:], len(keep)]):
+            k = keep[a:b]
+            own = [contexts[i] for i in order[k]]
+            columns = [kh[k].view(np.int64), ch[k].view(np.int64), ids[k], tie[k], low[k], high[k]]
+            columns.append(np.array([c is not None for c in own], np.int64))
+            out.append(packed(int(part[a]), 0, columns, b"".join(c for c in own if c is not None)))
         some = np.flatnonzero(later)
         some = some[np.lexsort((low[some], tie[some], ids[some]))]
         if len(some):
@@ -316,25 +358,14 @@ def _anchor_rows(rows: DataFrame, shared) -> DataFrame:
             cuts = np.flatnonzero(new)
             tops = np.maximum.reduceat(high[some], cuts)
             first = some[cuts]
-            zero = np.zeros(len(cuts), np.int64)
-            yield batch_of(
-                ANCHORS,
-                [
-                    mix(ids[first].view(np.uint64) + tie[first].view(np.uint64)).view(np.int64),
-                    np.ones(len(cuts), np.int32),
-                    zero,
-                    ids[first],
-                    tie[first],
-                    low[first],
-                    tops,
-                    [None] * len(cuts),
-                ],
-            )
+            number = int(part[0]) if len(part) else 0
+            out.append(packed(number, 1, [ids[first], tie[first], low[first], tops]))
+        yield batch_of(PACKED, zip(*out))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         waiting = 0
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch, "text")
             ids, tie = (np.array(values(batch, c), np.int64) for c in ("id", "tie"))
             for piece in pieces(texts):
@@ -362,7 +393,7 @@ def _anchor_rows(rows: DataFrame, shared) -> DataFrame:
         if held:
             yield from flushed(held)
 
-    return rows.mapInArrow(run, ANCHORS_DDL)
+    return rows.select("id", "tie", "text").mapInArrow(run, PACKED_DDL)
 
 
 def _repeated_ranges(anchors: DataFrame) -> DataFrame:
@@ -379,49 +410,53 @@ def _repeated_ranges(anchors: DataFrame) -> DataFrame:
             out.append((int(place[k, 0]), int(place[k, 1]), start + base, end + base))
         return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, "group"):
-            kind = table["kind"].to_numpy()
-            ready = table.filter(pa.array(kind == 1))
-            if ready.num_rows:
-                yield batch_of(RANGES, [ready[c].to_numpy() for c in RANGES.names])
-            table = table.filter(pa.array(kind == 0))
-            if table.num_rows < 2:
+    def ranges_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        kinds, sizes, blobs = (table[c].to_pylist() for c in ("kind", "size", "packed"))
+        held, context = [], []
+        for kind, size, blob in zip(kinds, sizes, blobs):
+            columns, tail = unpacked(size, blob, 7 if kind == 0 else 4)
+            if kind == 1:
+                yield batch_of(RANGES, columns)
                 continue
-            group, ch, ids, tie, low, high = (
-                table[c].to_numpy() for c in ("group", "ch", "id", "tie", "low", "high")
-            )
-            order = np.lexsort((low, tie, ids, ch, group))
-            group, ch, ids, tie, low, high = (x[order] for x in (group, ch, ids, tie, low, high))
-            head = np.ones(len(group), bool)
-            head[1:] = (group[1:] != group[:-1]) | (ch[1:] != ch[:-1])
-            moved = np.ones(len(group), bool)
-            moved[1:] = (ids[1:] != ids[:-1]) | (tie[1:] != tie[:-1]) | (low[1:] != low[:-1])
-            block = np.maximum.accumulate(np.where(head, np.arange(len(group)), 0))
-            again = np.cumsum(head | moved)
-            later = again > again[block]
-            if later.any():
-                yield batch_of(RANGES, [ids[later], tie[later], low[later], high[later]])
-            alone = np.flatnonzero(head)
-            distinct, back, many = np.unique(group[alone], return_inverse=True, return_counts=True)
-            alone = alone[many[back] > 1]
-            context = table["context"].take(pa.array(order[alone])).to_pylist()
-            kept = np.array([c is not None for c in context], bool)
-            alone = alone[kept]
-            context = [c for c in context if c is not None]
-            out: list[tuple] = []
-            begin = held = 0
-            for k, c in enumerate(context):
-                held += len(c) + 1
-                last = k + 1 == len(context) or group[alone[k + 1]] != group[alone[k]]
-                if last and (held >= BLOCK_BYTES or k + 1 == len(context)):
-                    out += by_suffixes(alone[begin : k + 1], context[begin : k + 1], ids, tie, low)
-                    begin, held = k + 1, 0
-            if out:
-                yield batch_of(RANGES, zip(*out))
-
-    rows = anchors.repartition("group").sortWithinPartitions("group")
-    return rows.mapInArrow(run, RANGES_DDL)
+            at = 0
+            for n, has in zip((columns[5] - columns[4]).tolist(), columns[6].tolist()):
+                context.append(tail[at : at + n] if has else None)
+                at += n if has else 0
+            held.append(columns)
+        if not held:
+            return
+        group, ch, ids, tie, low, high = (np.concatenate([h[k] for h in held]) for k in range(6))
+        order = np.lexsort((low, tie, ids, ch, group))
+        group, ch, ids, tie, low, high = (x[order] for x in (group, ch, ids, tie, low, high))
+        head = np.ones(len(group), bool)
+        head[1:] = (group[1:] != group[:-1]) | (ch[1:] != ch[:-1])
+        moved = np.ones(len(group), bool)
+        moved[1:] = (ids[1:] != ids[:-1]) | (tie[1:] != tie[:-1]) | (low[1:] != low[:-1])
+        block = np.maximum.accumulate(np.where(head, np.arange(len(group)), 0))
+        again = np.cumsum(head | moved)
+        later = again > again[block]
+        if later.any():
+            yield batch_of(RANGES, [ids[later], tie[later], low[later], high[later]])
+        alone = np.flatnonzero(head)
+        _, back, many = np.unique(group[alone], return_inverse=True, return_counts=True)
+        alone = alone[many[back] > 1]
+        alone = alone[[context[k] is not None for k in order[alone]]]
+        own = [context[k] for k in order[alone]]
+        out: list[tuple] = []
+        begin = size = 0
+        for k, c in enumerate(own):
+            size += len(c) + 1
+            last = k + 1 == len(own) or group[alone[k + 1]] != group[alone[k]]
+            if last and (size >= BLOCK_BYTES or k + 1 == len(own)):
+                out += by_suffixes(alone[begin : k + 1], own[begin : k + 1], ids, tie, low)
+                begin, size = k + 1, 0
+        if out:
+            yield batch_of(RANGES, zip(*out))
+
+    def run(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(ranges_of(table)), schema=RANGES)
+
+    return anchors.groupBy("part").applyInArrow(run, RANGES_DDL)
 
 
 def _hot_ranges(rows: DataFrame, shared) -> DataFrame:
@@ -435,7 +470,7 @@ def _hot_ranges(rows: DataFrame, shared) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch, "text")
             ids, tie = (np.array(values(batch, c), np.int64) for c in ("id", "tie"))
             for piece in pieces(texts):
@@ -462,6 +497,31 @@ def _hot_ranges(rows: DataFrame, shared) -> DataFrame:
     return later.select("id", "tie", F.col("start").alias("low"), (F.col("start") + LENGTH).alias("high"))
 
 
+def _squeezed(rows: DataFrame) -> DataFrame:
+    """The rows with their texts compressed, for the one time that texts are shuffled."""
+    schema = pa.schema(
+        [
+            ("doc_id", pa.int64()),
+            ("id", pa.int64()),
+            ("tie", pa.int64()),
+            ("n_bytes", pa.int64()),
+            ("text", pa.binary()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _zstd()
+        for batch in small(batches):
+            texts = utf8(batch, "text")
+            same = [batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "id", "tie")]
+            blobs = [codec.compress(t, asbytes=True) if t else b"" for t in texts]
+            yield batch_of(schema, [*same, [len(t) for t in texts], blobs])
+
+    return rows.select("doc_id", "id", "tie", "text").mapInArrow(
+        run, "doc_id long, id long, tie long, n_bytes long, text binary"
+    )
+
+
 def remove_repeats(docs: DataFrame, hot: int = HOT_CONTEXTS, part_bytes: int = PART_BYTES) -> DataFrame:
     """What is left of each document without the bytes of repeated 100-byte strings.
 
@@ -476,12 +536,13 @@ def remove_repeats(docs: DataFrame, hot: int = HOT_CONTEXTS, part_bytes: int = P
     apart by 64-bit hashes.
     """
     rows = _keyed(docs)
-    known = anchor_filter(rows, hot, part_bytes)
+    bits = _part_bits(rows, part_bytes)
+    known = anchor_filter(rows, hot, bits)
     any_hot = bool(known.planes[2].any())
     shared = docs.sparkSession.sparkContext.broadcast(known)
-    ranges = _repeated_ranges(_anchor_rows(rows, shared))
+    ranges = _repeated_ranges(_anchor_rows(rows, shared, bits))
     if any_hot:
-        ranges = ranges.unionByName(_hot_ranges(rows, shared))
+        ranges = ranges.unionByName(_hot_ranges(rows.select("id", "tie", "text"), shared))
     merged = ranges.groupBy("id", "tie").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     merged = materialize(merged, "repeated-ranges")
     out = pa.schema(
@@ -495,9 +556,11 @@ def remove_repeats(docs: DataFrame, hot: int = HOT_CONTEXTS, part_bytes: int = P
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             done = []
-            for text, own in zip(utf8(batch, "text"), values(batch, "ranges")):
+            sizes, texts = values(batch, "n_bytes"), values(batch, "text")
+            for n, blob, own in zip(sizes, texts, values(batch, "ranges")):
+                text = pa.decompress(blob, decompressed_size=n, codec="zstd", asbytes=True) if n else b""
                 digest, at, removed, spans, end = hashlib.sha256(), 0, 0, 0, -1
                 for low, high in sorted((r["low"], r["high"]) for r in own or ()):
                     spans += low > end
@@ -511,12 +574,9 @@ def remove_repeats(docs: DataFrame, hot: int = HOT_CONTEXTS, part_bytes: int = P
             columns = zip(*done) if done else [[]] * 4
             yield batch_of(out, [values(batch, "doc_id"), *columns])
 
-    text = F.coalesce("text", F.lit(""))
-    left = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
-    left = left.withColumns(
-        {"id": F.coalesce("doc_id", F.lit(-(1 << 63))), "tie": F.xxhash64("text")}
-    )
-    joined = left.join(merged, ["id", "tie"], "left").select("doc_id", "text", "ranges")
+    # The ranges grow with the documents, so neither side is ever broadcast.
+    joined = _squeezed(rows).join(merged.hint("merge"), ["id", "tie"], "left")
+    joined = joined.select("doc_id", "n_bytes", "text", "ranges")
     return joined.mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
