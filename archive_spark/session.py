@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,6 +24,7 @@ SETTINGS = {
 }
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+_LOCAL: dict[str, str] = {}
 
 
 def get_session(app: str = "archive_spark", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,11 +37,19 @@ def get_session(app: str = "archive_spark", master: str | None = None, **conf: s
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder."""
+    """A new folder under the cluster's shared checkpoint folder.
+
+    Without that setting only a session on one machine has a place: a temporary folder of
+    its own. On a cluster each executor would write to its own disk, so that is refused.
+    The settings of the session stay as they are.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="archive-spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder, master is {master}")
+        base = _LOCAL.setdefault("base", "") or tempfile.mkdtemp(prefix="archive-spark-")
+        _LOCAL["base"] = base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
