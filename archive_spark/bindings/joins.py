@@ -137,12 +137,12 @@ def _(spark, folder):
 @query(
     "all_segments",
     """
-    SELECT page_id, url, CASE WHEN page_id % 2 = 0 THEN html[:40] END AS date FROM pages
+    SELECT page_id, url, CASE WHEN page_id % 2 = 0 THEN html END AS date FROM pages
     """,
 )
 def _(spark, folder):
     pages = table(spark, folder, "pages").select(
-        "page_id", "url", F.substring("html", 1, 40).alias("date")
+        "page_id", "url", F.col("html").alias("date")
     )
     evening = pages.filter("page_id % 2 = 1").drop("date")
     return jn.all_segments(evening, pages.filter("page_id % 2 = 0"))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..session import BROADCAST_BYTES, fits_broadcast
 from .filters import require_key
 
-HOT_KEYS = 10_000
 HOT_ROWS = 100_000
 SALTS = 64
 
@@ -24,22 +23,21 @@ def join_to_one(
 ) -> DataFrame:
     """Join to a side with one row per key (inner, left, left_semi or left_anti).
 
-    The most frequent keys of ``left`` with ``hot_rows`` rows or more are spread over
-    ``SALTS`` partitions and only their rows of ``right`` are repeated. At most
-    ``HOT_KEYS`` keys are broadcast, which covers every key with more than a
-    1/``HOT_KEYS`` share of the rows. The salt is the number of the sending task, so a
-    task that runs again sends its rows to the same places. ``left`` is read twice, the
-    first time for its key alone; store it before, if it is costly to compute.
+    Every key of ``left`` with ``hot_rows`` rows or more is spread over ``SALTS`` partitions
+    and only its rows of ``right`` are repeated. There are at most as many such keys as
+    ``hot_rows`` goes into the rows, which bounds the broadcast. The salt comes from the row
+    and the number of the sending task, so rows that stand together part as well, and a task
+    that runs again sends its rows to the same places. ``left`` is read twice, the first
+    time for its key alone; store it before, if it is costly to compute.
     """
     hot = (
         left.groupBy(key)
         .agg(F.count("*").alias("_n"))
-        .orderBy(F.col("_n").desc(), key)
-        .limit(HOT_KEYS)
         .filter((F.col("_n") >= hot_rows) & F.col(key).isNotNull())
         .select(key, F.lit(True).alias("_hot"))
     )
-    task = F.spark_partition_id() % SALTS
+    plain = [F.col(f"`{c}`") for c, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
+    task = F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(SALTS)).cast("int")
     spread = F.col("_hot").isNotNull() | F.col(key).isNull()
     salted = (
         left.join(F.broadcast(hot), key, "left")

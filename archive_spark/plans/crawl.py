@@ -85,13 +85,18 @@ def _page_fields(parsed: DataFrame, kind: str, *keep: str) -> DataFrame:
     )
 
 
+def request_id(url: str):
+    """Id in a link's URL as it is requested, that is without its fragment."""
+    return id_from_url(F.regexp_replace(F.col(url), r"(?s)#.*", ""))
+
+
 def special_segments(parsed: DataFrame, *keep: str) -> DataFrame:
     """One row per parsed special page, which is its whole source; ``keep`` is carried."""
     described = {
         "program_title": split_title_date("info", "special")[0],
         "program_duration": F.lit(""),
         "broadcast_time": F.lit(""),
-        "broadcast_order": id_from_url("url"),
+        "broadcast_order": request_id("url"),
     }
     rows = _page_fields(parsed.withColumns(described), "special", *described, *keep)
     return require_id(rows.select(*SEGMENTS_COLUMNS, *keep), "broadcast_order")
@@ -99,7 +104,7 @@ def special_segments(parsed: DataFrame, *keep: str) -> DataFrame:
 
 def programs(parsed: DataFrame) -> DataFrame:
     """Listing rows of parsed program pages with title and duration of the program."""
-    attributed = require_id(parsed.withColumn("program_id", id_from_url("url")), "program_id")
+    attributed = require_id(parsed.withColumn("program_id", request_id("url")), "program_id")
     attributed = attributed.withColumns(
         {
             "program_title": headline_title("headline"),
@@ -116,7 +121,7 @@ def evening_segments(listing: DataFrame, parsed: DataFrame, missing: str = "empt
     should be a stored table; ``parsed`` has one row per page.
     """
     entries = require_id(
-        listing.withColumn("broadcast_order", id_from_url("url")), "broadcast_order"
+        listing.withColumn("broadcast_order", request_id("url")), "broadcast_order"
     ).select(
         url_key("url").alias("url_key"),
         "program_title",

@@ -13,21 +13,23 @@ from .crawl import build_segments
 def incremental_segments(
     pages: DataFrame, start: str | None, end: str | None = None, **options
 ) -> DataFrame:
-    """Segments of the months within the range; other pages are not read."""
+    """Segments of the months within the range; pages of other months are scanned, not parsed."""
     return build_segments(pages, start=start, end=end, **options)
 
 
 def upsert_segments(
     base: DataFrame,
     delta: DataFrame,
-    key: str = "broadcast_order",
-    order: list[Column] | None = None,
+    key: str,
+    order: list[Column],
 ) -> DataFrame:
     """Rows of ``base`` with those of the same key replaced by the last ones of ``delta``.
 
-    ``order`` tells which of several delta rows of one key wins (the first).
+    ``order`` tells which of several delta rows of one key wins (the first). Rows without a
+    key replace nothing and are all kept, on both sides.
     """
-    order = order or [F.xxhash64(*[F.col(f"`{c}`") for c in delta.columns])]
     kept = join_to_one(base, delta.select(key).distinct(), key, "left_anti")
-    merged = kept.unionByName(latest(delta, [key], order))
+    keyless = F.col(f"`{key}`").isNull()
+    merged = kept.unionByName(latest(delta.filter(~keyless), [key], order))
+    merged = merged.unionByName(delta.filter(keyless))
     return merged.select(*[F.col(f"`{c}`") for c in base.columns])

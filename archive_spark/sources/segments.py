@@ -84,7 +84,12 @@ def read_segments_csv(
 def export_subset(
     segments: DataFrame, pages: DataFrame, path: str, mode: str = "errorifexists"
 ) -> None:
-    """Two data sets: ``data`` (gzip JSON lines) and ``html`` (pages of these segments)."""
+    """Two data sets: ``data`` (gzip JSON lines) and ``html`` (pages of these segments).
+
+    Ids are unique within a page kind only, so in a mixed archive segment pages alone count.
+    """
+    if "page_kind" in pages.columns:
+        pages = pages.filter(F.col("page_kind") == "broadcast")
     write_segments_jsonl(segments, f"{path}/data", mode, compression="gzip")
     wanted = require_key(segments).select(F.col("broadcast_order").alias("page_id"))
     keep_reachable(pages, wanted, "page_id").write.mode(mode).option(

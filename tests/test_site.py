@@ -8,7 +8,7 @@ from archive_spark.operators.aggregates import links_per_page, progress
 from archive_spark.operators.audit import duplicate_segments, missing_durations
 from archive_spark.operators.joins import broken_links
 from archive_spark.operators.links import distinct_requests, month_links, program_link, segment_links
-from archive_spark.plans.crawl import build_segments, last_visits, parse_kind, special_segments
+from archive_spark.plans.crawl import request_id, build_segments, last_visits, parse_kind, special_segments
 from archive_spark.plans.incremental import incremental_segments, upsert_segments
 from archive_spark.schema import RAW_PAGES, SEGMENTS
 from archive_spark.session import scratch_path
@@ -60,7 +60,7 @@ def test_limit_keeps_the_first_ids(pages):
 def test_two_increments_equal_one_run(pages):
     base = incremental_segments(pages, None, "2024-05-01", hosts=HOSTS)
     delta = incremental_segments(pages, "2024-05-01", hosts=HOSTS)
-    assert rows(upsert_segments(base, delta)) == expected(EXPECTED)
+    assert rows(upsert_segments(base, delta, "broadcast_order", [F.col("broadcast_title")])) == expected(EXPECTED)
 
 
 def test_saved_archive_gives_the_same_rows(spark, pages):
@@ -135,3 +135,18 @@ def test_stream_batch_written_twice_counts_once(spark, pages):
 
 def test_page_without_answer_is_not_parsed(pages):
     assert parse_kind(pages, "month").filter(F.col("url").endswith("2023-05")).count() == 0
+
+
+def test_ids_come_from_links_without_their_fragment(spark):
+    urls = [("https://h/broadcasts/12#clip",), ("/programs/10#top",), ("/a/7",), ("/a#8",)]
+    df = spark.createDataFrame(urls, "url string").select(request_id("url").alias("id"))
+    assert [r.id for r in df.collect()] == [12, 10, 7, None]
+
+
+def test_upsert_keeps_rows_without_a_key(spark):
+    base = spark.createDataFrame([(1, "old"), (None, "base")], "k long, v string")
+    delta = spark.createDataFrame([(1, "b"), (1, "a"), (None, "x"), (None, "x")], "k long, v string")
+    got = upsert_segments(base, delta, "k", [F.col("v")]).collect()
+    assert sorted((str(r.k), r.v) for r in got) == [
+        ("1", "a"), ("None", "base"), ("None", "x"), ("None", "x")
+    ]
