@@ -119,6 +119,16 @@ def _(spark, folder):
     return ag.reconcile(documents, _files(spark, folder), "doc_id", "page_id")
 
 
+@query(
+    "reconcile_complete",
+    "SELECT count(*) AS records, count(*) AS files, true AS ok FROM orders",
+)
+def _(spark, folder):
+    # Keys start at 0, which is no proper id.
+    orders = table(spark, folder, "orders").select((F.col("o_orderkey") + 1).alias("page_id"))
+    return ag.reconcile(orders, orders, "page_id", "page_id")
+
+
 @query(
     "reconcile_links",
     f"""

@@ -75,19 +75,16 @@ def _(spark, folder):
 
 @query(
     "write_modes",
-    f"""{ORDER_SEGMENTS_SQL} WHERE o_orderkey % 2 = 0
+    f"""{ORDER_SEGMENTS_SQL}
         UNION ALL {ORDER_SEGMENTS_SQL} WHERE o_orderkey % 3 = 0""",
 )
 def _(spark, folder):
     path = scratch_path(spark, "modes")
     segments = order_segments(spark, folder)
-    write_segments_json(segments, path)
-    halves = [
-        segments.filter(F.regexp_extract("broadcast_title", r"(\d+)", 1).cast("bigint") % n == 0)
-        for n in (2, 3)
-    ]
-    write_segments_json(halves[0], path, "overwrite")
-    write_segments_json(halves[1], path, "append")
+    number = F.regexp_extract("broadcast_title", r"(\d+)", 1).cast("bigint")
+    write_segments_json(segments.filter(number % 3 == 0), path)
+    write_segments_json(segments, path, "overwrite")
+    write_segments_json(segments.filter(number % 3 == 0), path, "append")
     return read_segments_jsonl(spark, path)
 
 
@@ -132,7 +129,11 @@ def _(spark, folder):
         .filter("doc_id % 3 > 0")
         .select(F.col("doc_id").alias("broadcast_order"), "text")
     )
-    export_subset(records, table(spark, folder, "pages"), path)
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    stored = pages.withColumn("page_kind", F.lit("broadcast")).unionByName(
+        pages.withColumns({"page_kind": F.lit("program"), "html": F.lit("<p>program</p>")})
+    )
+    export_subset(records, stored, path)
     data = read_segments_jsonl(spark, f"{path}/data", records.schema)
     html = spark.read.parquet(f"{path}/html")
     return data.select(

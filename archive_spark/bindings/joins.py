@@ -153,17 +153,25 @@ def _(spark, folder):
     """
     SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
            CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS state
-    FROM orders WHERE o_orderkey % 5 > 0 OR o_orderkey % 3 = 0
+    FROM orders
+    UNION ALL
+    SELECT NULL, CAST(year(o_orderdate) AS INTEGER), state
+    FROM orders, (VALUES ('base'), ('delta')) AS s(state) WHERE o_orderkey % 7 = 0
     """,
 )
 def _(spark, folder):
     orders = table(spark, folder, "orders").select(
         "o_orderkey", F.year("o_orderdate").alias("year")
     )
-    base = orders.filter("o_orderkey % 5 > 0").withColumn("state", F.lit("old"))
+    keyless = orders.filter("o_orderkey % 7 = 0").withColumn(
+        "o_orderkey", F.lit(None).cast("bigint")
+    )
+    base = orders.withColumn("state", F.lit("old"))
     delta = orders.filter("o_orderkey % 3 = 0").withColumn("state", F.lit("new"))
     stale = delta.withColumn("state", F.lit("stale"))
-    return upsert_segments(base, delta.unionByName(stale), "o_orderkey", [F.col("state")])
+    base = base.unionByName(keyless.withColumn("state", F.lit("base")))
+    changes = delta.unionByName(stale).unionByName(keyless.withColumn("state", F.lit("delta")))
+    return upsert_segments(base, changes, "o_orderkey", [F.col("state")])
 
 
 @query(

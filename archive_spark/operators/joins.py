@@ -15,7 +15,6 @@ from ..session import BROADCAST_BYTES, fits_broadcast
 from .filters import require_key
 
 HOT_ROWS = 100_000
-SALTS = 64
 
 
 def join_to_one(
@@ -23,32 +22,38 @@ def join_to_one(
 ) -> DataFrame:
     """Join to a side with one row per key (inner, left, left_semi or left_anti).
 
-    Every key of ``left`` with ``hot_rows`` rows or more is spread over ``SALTS`` partitions
-    and only its rows of ``right`` are repeated. There are at most as many such keys as
-    ``hot_rows`` goes into the rows, which bounds the broadcast. The salt comes from the row
+    A key of ``left`` is hot with ``hot_rows`` rows or more and at least a quarter of the
+    rows that one of the shuffle partitions gets on average, so there are at most four hot
+    keys for each partition, which bounds the broadcast. A hot key is cut into as many salts
+    as it holds such quarters, rows without a key into a salt of their own for each row
+    hash, and only the rows of ``right`` with a hot key are repeated. The salt comes from the row
     and the number of the sending task, so rows that stand together part as well, and a task
-    that runs again sends its rows to the same places. ``left`` is read twice, the first
-    time for its key alone; store it before, if it is costly to compute.
+    that runs again sends its rows to the same places. ``left`` is read twice more, both
+    times for its key alone; store it before, if it is costly to compute.
     """
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = left.agg(F.count("*").alias("n")).scalar()
+    share = F.greatest(F.lit(hot_rows).cast("double"), total / F.lit(4.0 * partitions))
     hot = (
         left.groupBy(key)
         .agg(F.count("*").alias("_n"))
-        .filter((F.col("_n") >= hot_rows) & F.col(key).isNotNull())
-        .select(key, F.lit(True).alias("_hot"))
+        .filter(F.col(key).isNotNull())
+        .filter(F.col("_n") >= share)
+        .select(key, F.ceil(F.col("_n") / share).cast("bigint").alias("_salts"))
     )
     plain = [F.col(f"`{c}`") for c, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
-    task = F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(SALTS)).cast("int")
-    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
+    mixed = F.xxhash64(F.spark_partition_id(), *plain)
+    salt = F.when(F.col(key).isNull(), mixed).otherwise(
+        F.pmod(mixed, F.coalesce(F.col("_salts"), F.lit(1)))
+    )
     salted = (
-        left.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.when(spread, task).otherwise(0))
-        .drop("_hot")
+        left.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_salts")
     )
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     repeated = (
         right.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_salt", F.explode(copies))
+        .drop("_salts")
     )
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 

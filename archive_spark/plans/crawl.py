@@ -9,6 +9,7 @@ narrower rows meet the links.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,8 +152,13 @@ def _parse_behind(
     return last_visits(parse_kind(of_kind, kind)), everything
 
 
-def build_segments(
-    pages: DataFrame,
+# Last visits of the parsed pages of a kind, at least of those behind the links if there are
+# any; the second value tells that these are all pages of the kind.
+Visits = Callable[[str, DataFrame | None], tuple[DataFrame, bool]]
+
+
+def segments_from(
+    visits: Visits,
     start: str | None = None,
     end: str | None = None,
     buffer_days: int = 0,
@@ -161,9 +167,8 @@ def build_segments(
     hosts: list[str] | None = None,
     missing: str = "empty",
     today: dt.date | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Segment rows of everything reachable from the landed site index pages.
+    """Segment rows of everything reachable from the site index pages that ``visits`` gives.
 
     Frontiers and parsed segment pages have several readers and are written once as
     scratch tables. Segment pages are visited twice, first for their program link and
@@ -174,24 +179,24 @@ def build_segments(
     def allowed(links: DataFrame) -> DataFrame:
         return host_filter(links, hosts) if hosts else links
 
-    months = temporal_filter(month_links(last_visits(parse_kind(pages, "index"))), lower, upper)
+    months = temporal_filter(month_links(visits("index", None)[0]), lower, upper)
     months = materialize(
         distinct_requests(allowed(month_filter(months, month_regex))), "months"
     )
 
-    month_pages, _ = _parse_behind(pages, months, "month", broadcast_bytes)
+    month_pages, _ = visits("month", months)
     target = months.select("url_key", F.col("url").alias("link_url"))
     month_pages = hop(target, month_pages.drop("url"), distinct=True).withColumnRenamed("link_url", "url")
     frontier = materialize(distinct_requests(allowed(segment_links(month_pages))), "frontier")
 
-    first, complete = _parse_behind(pages, frontier, "broadcast", broadcast_bytes)
+    first, complete = visits("broadcast", frontier)
     first = materialize(first.drop("url"), "segment-pages")
     visited = hop(frontier.select("url_key", "url", "list"), first, distinct=True)
     special = special_segments(visited.filter(F.col("list") == "special"))
 
     program_links = allowed(program_link(visited.filter(F.col("list") == "evening")))
     program_links = materialize(distinct_requests(program_links), "program-links")
-    program_pages, _ = _parse_behind(pages, program_links, "program", broadcast_bytes)
+    program_pages, _ = visits("program", program_links)
     program_target = program_links.select("url_key", "url")
     reached = hop(program_target, program_pages.drop("url"), distinct=True)
     listing = materialize(programs(reached), "listing")
@@ -202,10 +207,26 @@ def build_segments(
         unseen = listing.select("url", url_key("url").alias("url_key")).join(
             known, "url_key", "left_anti"
         )
-        second, everything = _parse_behind(pages, unseen, "broadcast", broadcast_bytes)
+        second, everything = visits("broadcast", unseen)
         second = second.drop("url")
         if everything:
             second = second.join(known, "url_key", "left_anti")
         segment_pages = first.unionByName(second)
     evening = evening_segments(listing, segment_pages, missing)
     return limit_items(all_segments(evening, special), max_items)
+
+
+def build_segments(
+    pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, **options
+) -> DataFrame:
+    """Segment rows of everything reachable from the landed site index pages.
+
+    ``options`` are those of ``segments_from``: bounds, month filter, hosts and limit.
+    """
+
+    def visits(kind: str, links: DataFrame | None) -> tuple[DataFrame, bool]:
+        if links is None:
+            return last_visits(parse_kind(pages, kind)), True
+        return _parse_behind(pages, links, kind, broadcast_bytes)
+
+    return segments_from(visits, **options)

@@ -1,5 +1,5 @@
 """Streaming ingest of landed pages."""
 
-from .ingest import read_current, stream_segments
+from .ingest import compact, read_current, stream_segments
 
-__all__ = ["read_current", "stream_segments"]
+__all__ = ["compact", "read_current", "stream_segments"]

@@ -1,70 +1,78 @@
 """Segments from pages as they land.
 
-Every micro-batch is written as one partition ``batch_id=<n>``. A batch that is run
-again after a lost executor or a restart overwrites its own partition, so rows are
-neither lost nor doubled, and no file is rewritten while it is read. Which visit of an
-id counts is decided on reading, by fetch time and not by arrival.
+The stream does what is costly and belongs to one page: it parses. Every micro-batch adds
+one partition ``batch_id=<n>`` of parsed pages per kind. A batch that is run again after a
+lost executor or a restart overwrites its own partitions, so rows are neither lost nor
+doubled, and no file is rewritten while it is read.
+
+Which list a page stands on, and which program lists it, may be known only after the page
+has landed. So the walk from the site index to segments is done on reading, over the last
+visits of the narrow parsed pages; the result does not depend on the order of arrival.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedup import latest
-from ..operators.filters import ok_pages
-from ..operators.parse import ARCHIVE_PROFILES, parse_pages
-from ..plans.crawl import special_segments
+from ..operators.parse import ARCHIVE_PROFILES
+from ..plans.crawl import last_visits, parse_kind, segments_from
 from ..schema import RAW_PAGES
 
-ARRIVAL = ["fetched_at", "page_url", "batch_id"]
-
-
-def special_rows(pages: DataFrame) -> DataFrame:
-    """Segments of landed special pages with what tells their last visit."""
-    answered = ok_pages(pages.filter(F.col("page_kind") == "broadcast"))
-    parsed = parse_pages(answered, ARCHIVE_PROFILES["broadcast"], ["url", "fetched_at"])
-    return special_segments(
-        parsed.withColumn("page_url", F.col("url")), "fetched_at", "page_url"
-    )
-
 
 def stream_segments(
     spark: SparkSession,
     source: str,
     out: str,
     checkpoint: str,
-    to_rows: Callable[[DataFrame], DataFrame] = special_rows,
     schema: T.StructType = RAW_PAGES,
     file_format: str = "parquet",
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Parse pages that are new in ``source`` and append their rows to ``out``.
+    """Parse pages that are new in ``source`` and append them, by kind, to ``out``.
 
-    Runs until all present files are read (``availableNow``). ``to_rows`` maps pages to
-    rows with the columns ``fetched_at`` and ``page_url``.
+    Runs until all present files are read (``availableNow``). Each kind is a filtered read
+    of the batch, so sources partitioned or sorted by ``page_kind`` are read once in all.
     """
     reader = spark.readStream.format(file_format).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = to_rows(reader.load(source))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        for kind in ARCHIVE_PROFILES:
+            parsed = parse_kind(batch, kind)
+            parsed.write.mode("overwrite").parquet(f"{out}/{kind}/batch_id={batch_id}")
 
     return (
-        rows.writeStream.foreachBatch(write)
+        reader.load(source)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_current(spark: SparkSession, out: str, key: str = "broadcast_order") -> DataFrame:
-    """The last visit of every key written so far."""
-    order = [F.col("fetched_at").desc_nulls_last(), F.col("page_url"), F.col("batch_id").desc()]
-    return latest(spark.read.parquet(out), [key], order).drop(*ARRIVAL)
+def parsed_pages(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    """Last visits of all pages of ``kind`` parsed so far."""
+    return last_visits(spark.read.parquet(f"{out}/{kind}").drop("batch_id"))
+
+
+def read_current(spark: SparkSession, out: str, **options) -> DataFrame:
+    """Segments of all pages parsed so far; ``options`` are those of ``segments_from``."""
+
+    def visits(kind: str, links: DataFrame | None) -> tuple[DataFrame, bool]:
+        return parsed_pages(spark, out, kind), True
+
+    return segments_from(visits, **options)
+
+
+def compact(spark: SparkSession, out: str, into: str) -> None:
+    """Write the last visits found in ``out`` as the one batch of a new folder ``into``.
+
+    Run it while no stream writes to ``out``. Let the stream go on into the new folder with
+    the same checkpoint: its next batches have higher numbers than those gathered.
+    """
+    for kind in ARCHIVE_PROFILES:
+        parsed_pages(spark, out, kind).write.parquet(f"{into}/{kind}/batch_id=-1")

@@ -8,12 +8,12 @@ from archive_spark.operators.aggregates import links_per_page, progress
 from archive_spark.operators.audit import duplicate_segments, missing_durations
 from archive_spark.operators.joins import broken_links
 from archive_spark.operators.links import distinct_requests, month_links, program_link, segment_links
-from archive_spark.plans.crawl import request_id, build_segments, last_visits, parse_kind, special_segments
+from archive_spark.plans.crawl import build_segments, last_visits, parse_kind, request_id
 from archive_spark.plans.incremental import incremental_segments, upsert_segments
 from archive_spark.schema import RAW_PAGES, SEGMENTS
 from archive_spark.session import scratch_path
 from archive_spark.sources import read_page_archive, save_raw_pages
-from archive_spark.streaming import read_current, stream_segments
+from archive_spark.streaming import compact, read_current, stream_segments
 
 HOSTS = ["news.example.org"]
 
@@ -104,33 +104,35 @@ def test_audits(spark, pages):
 @pytest.mark.parametrize("files_per_batch", [1, None])
 def test_stream_equals_batch(spark, pages, files_per_batch):
     path = scratch_path(spark, "streamed")
-    landed = pages.filter("page_kind = 'broadcast'")
 
-    def run():
-        query = stream_segments(
-            spark, f"{path}/in", f"{path}/out", f"{path}/ckpt", max_files=files_per_batch
-        )
-        query.awaitTermination()
+    def run(out):
+        stream_segments(
+            spark, f"{path}/in", f"{path}/{out}", f"{path}/ckpt", max_files=files_per_batch
+        ).awaitTermination()
 
-    landed.filter("page_id < 20").repartition(4).write.mode("append").parquet(f"{path}/in")
-    run()
-    landed.filter("page_id >= 20 OR page_id IS NULL").write.mode("append").parquet(f"{path}/in")
-    run()
-    run()  # nothing new
-    batch = special_segments(last_visits(parse_kind(landed, "broadcast")))
-    assert rows(read_current(spark, f"{path}/out")) == rows(batch)
+    # segment and program pages come before the pages that lead to them
+    early = F.col("page_kind").isin("broadcast", "program") & (F.col("page_id") < 20)
+    pages.filter(early).repartition(2).write.mode("append").parquet(f"{path}/in")
+    run("out")
+    pages.filter(F.coalesce(~early, F.lit(True))).coalesce(2).write.mode("append").parquet(f"{path}/in")
+    run("out")
+    run("out")  # nothing new
+    expected = rows(build_segments(pages, hosts=HOSTS))
+    assert rows(read_current(spark, f"{path}/out", hosts=HOSTS)) == expected
+    if files_per_batch is None:
+        compact(spark, f"{path}/out", f"{path}/packed")
+        assert rows(read_current(spark, f"{path}/packed", hosts=HOSTS)) == expected
 
 
 def test_stream_batch_written_twice_counts_once(spark, pages):
     path = scratch_path(spark, "replayed")
-    landed = pages.filter("page_kind = 'broadcast'")
-    landed.write.parquet(f"{path}/in")
+    pages.write.parquet(f"{path}/in")
     for checkpoint in ("first", "second"):  # the same batch ids again, as after a lost checkpoint
         stream_segments(
             spark, f"{path}/in", f"{path}/out", f"{path}/{checkpoint}"
         ).awaitTermination()
-    once = special_segments(last_visits(parse_kind(landed, "broadcast")))
-    assert rows(read_current(spark, f"{path}/out")) == rows(once)
+    once = rows(build_segments(pages, hosts=HOSTS))
+    assert rows(read_current(spark, f"{path}/out", hosts=HOSTS)) == once
 
 
 def test_page_without_answer_is_not_parsed(pages):
