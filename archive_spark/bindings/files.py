@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
+
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from ..session import scratch_path
 from ..sources import (
     export_subset,
     read_page_archive,
+    read_raw_pages,
     read_segments_csv,
     read_segments_jsonl,
     save_raw_pages,
@@ -18,6 +22,7 @@ from ..sources import (
     write_segments_jsonl,
 )
 from .registry import LONG_DATE, LONG_DATE_SQL, landed_pages, query, table
+from .site import SITE
 
 
 def order_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,6 +93,34 @@ def _(spark, folder):
     return read_segments_jsonl(spark, path)
 
 
+def _store_files(pages: DataFrame, path: str) -> None:
+    """One compressed file per page, as a crawler leaves them."""
+
+    def store(rows) -> None:
+        store, base = FileSystem.from_uri(path)
+        store.create_dir(base)
+        for row in rows:
+            with store.open_output_stream(f"{base}/{row.page_id}.html.gz", compression=None) as out:
+                out.write(gzip.compress(row.html.encode()))
+
+    pages.foreachPartition(store)
+
+
+@query(
+    "read_raw_pages",
+    f"""
+    SELECT 'broadcast' AS page_kind, page_id, '{SITE}/broadcasts/' || page_id AS url,
+           md5(html) AS digest
+    FROM pages
+    """,
+)
+def _(spark, folder):
+    path = scratch_path(spark, "raw")
+    _store_files(table(spark, folder, "pages").select("page_id", "html"), path)
+    read = read_raw_pages(spark, path, "broadcast", SITE)
+    return read.select("page_kind", "page_id", "url", F.md5("html").alias("digest"))
+
+
 @query(
     "save_raw_pages",
     """

@@ -6,7 +6,7 @@ reaches the join as one row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .filters import require_key
@@ -74,6 +74,13 @@ def archive_size_mb(files: DataFrame, html: str = "html") -> DataFrame:
     return files.agg(F.round(F.coalesce(size, F.lit(0.0)), 1).alias("size_mb"))
 
 
+def stored_size_mb(spark: SparkSession, path: str) -> DataFrame:
+    """One row: MB that the files below ``path`` take, compressed as they are."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    size = F.coalesce(F.sum("length"), F.lit(0)) / F.lit(1024 * 1024)
+    return files.agg(F.round(size, 1).alias("stored_mb"))
+
+
 def reconcile(df: DataFrame, files: DataFrame, key: str, file_key: str) -> DataFrame:
     """One row: records, stored files among their keys, and whether the two agree.
 

@@ -69,7 +69,11 @@ def parse_kind(
 
 
 def last_visits(parsed: DataFrame) -> DataFrame:
-    return latest(parsed, ["url_key"], [F.col("fetched_at").desc_nulls_last(), F.col("url")])
+    """The last visit of each URL; visits of one time go by URL, then by a hash of the row."""
+    same_time = F.xxhash64(*parsed.columns)
+    return latest(
+        parsed, ["url_key"], [F.col("fetched_at").desc_nulls_last(), F.col("url"), same_time]
+    )
 
 
 def _page_fields(parsed: DataFrame, kind: str, *keep: str) -> DataFrame:
@@ -140,11 +144,11 @@ def _parse_behind(
 ) -> tuple[DataFrame, bool]:
     """Last visits of the pages of ``kind``; only those behind ``links`` if these are few.
 
-    Few keys are broadcast to the scan, so pages outside are not even parsed. Too many
+    ``links`` have distinct values of ``url_key``. Few keys are broadcast to the scan, so pages outside are not even parsed. Too many
     to broadcast: all pages of the kind are parsed where they are scanned, which the
     second value tells.
     """
-    keys = links.select(url_key("url").alias("url_key")).distinct()
+    keys = links.select("url_key")
     of_kind = pages.filter(F.col("page_kind") == kind)
     everything = not fits_broadcast(keys, limit)
     if not everything:
@@ -204,10 +208,8 @@ def segments_from(
     segment_pages = first
     if not complete:
         known = first.select("url_key")
-        unseen = listing.select("url", url_key("url").alias("url_key")).join(
-            known, "url_key", "left_anti"
-        )
-        second, everything = visits("broadcast", unseen)
+        listed = listing.select(url_key("url").alias("url_key")).distinct()
+        second, everything = visits("broadcast", listed.join(known, "url_key", "left_anti"))
         second = second.drop("url")
         if everything:
             second = second.join(known, "url_key", "left_anti")

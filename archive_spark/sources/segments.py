@@ -86,11 +86,16 @@ def export_subset(
 ) -> None:
     """Two data sets: ``data`` (gzip JSON lines) and ``html`` (pages of these segments).
 
+    The ids of the pages are read back from the data, so the source is read once; only an
+    appended output, which holds older rows too, takes them from ``segments`` again.
+
     Ids are unique within a page kind only, so in a mixed archive segment pages alone count.
     """
     if "page_kind" in pages.columns:
         pages = pages.filter(F.col("page_kind") == "broadcast")
     write_segments_jsonl(segments, f"{path}/data", mode, compression="gzip")
+    if mode != "append":
+        segments = read_segments_jsonl(segments.sparkSession, f"{path}/data", segments.schema)
     wanted = require_key(segments).select(F.col("broadcast_order").alias("page_id"))
     keep_reachable(pages, wanted, "page_id").write.mode(mode).option(
         "compression", "zstd"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from archive_spark.operators.aggregates import archive_size_mb, file_match_counts, reconcile
 from archive_spark.operators.filters import year_range
-from archive_spark.plans.subset import year_subset_job
+from archive_spark.plans.subset import subset_sizes, year_subset_job
 from archive_spark.schema import SEGMENTS
 from archive_spark.sources import (
     read_raw_pages,
@@ -89,6 +89,18 @@ def test_year_subset_job(spark, segments, tmp_path):
     }
     stored = spark.read.parquet(str(tmp_path / "sub/html"))
     assert [r["page_id"] for r in stored.collect()] == [3]
+    sizes = {r["part"]: r["stored_mb"] for r in subset_sizes(spark, str(tmp_path / "sub")).collect()}
+    assert set(sizes) == {"data", "html"} and all(0 <= v < 0.3 for v in sizes.values())
+
+
+@pytest.mark.parametrize("mode", ["append", "ignore"])
+def test_year_subset_job_again_and_of_nothing(spark, segments, tmp_path, mode):
+    files = spark.createDataFrame([(3, "b")], "page_id long, html string")
+    path = str(tmp_path / "sub")
+    _, report = year_subset_job(segments.limit(0), files, 2020, 2025, path)
+    assert (report.first()["total"], report.first()["records"]) == (0, 0)
+    _, report = year_subset_job(segments, files, 2020, 2025, path, mode)
+    assert (report.first()["total"], report.first()["records"]) == (8, 5 if mode == "append" else 0)
 
 
 def test_counts_of_nothing(spark, segments):
