@@ -47,13 +47,16 @@ from ..operators.links import (
 )
 from ..operators.parse import ARCHIVE_PROFILES, Profile, parse_pages
 from ..schema import REPORTERS, SEGMENTS
-from ..session import BROADCAST_BYTES, fits_broadcast, materialize
+from ..session import BROADCAST_BYTES, materialize, row_bytes
 
 # Labels of the definition list on segment pages.
 DURATION_LABEL = "Duration:"
 SPECIAL_REPORTERS_LABEL = "Reporters:"
 EVENING_REPORTERS_LABEL = "Reporter(s):"
 
+# Stored pages of these kinds have the id of their URL as ``page_id``, or none.
+KINDS_WITH_ID = ("broadcast", "program")
+
 SEGMENTS_COLUMNS = [f"`{name}`" for name in SEGMENTS.names]
 _PAGE_TEXTS = ("broadcast_title", "broadcast_duration", "broadcast_abstract", REPORTERS)
 
@@ -139,19 +142,31 @@ def evening_segments(listing: DataFrame, parsed: DataFrame, missing: str = "empt
     return joined.select(*SEGMENTS_COLUMNS)
 
 
-def _parse_behind(
+def parse_behind(
     pages: DataFrame, links: DataFrame, kind: str, limit: int
 ) -> tuple[DataFrame, bool]:
     """Last visits of the pages of ``kind``; only those behind ``links`` if these are few.
 
     ``links`` have distinct values of ``url_key``. Few keys are broadcast to the scan, so pages outside are not even parsed. Too many
     to broadcast: all pages of the kind are parsed where they are scanned, which the
-    second value tells.
+    second value tells. If all links name an id, the least and the greatest one bound the
+    scan, so that row groups of an archive sorted by id are skipped; ids are given out in
+    order of time, so those of a month stand close together.
     """
     keys = links.select("url_key")
+    page_id = request_id("url_key")
+    found = keys.agg(
+        F.sum(row_bytes(keys)).alias("bytes"),
+        F.min(page_id).alias("least"),
+        F.max(page_id).alias("greatest"),
+        F.count_if(page_id.isNull()).alias("without"),
+    ).first()
     of_kind = pages.filter(F.col("page_kind") == kind)
-    everything = not fits_broadcast(keys, limit)
+    everything = (found["bytes"] or 0) > limit
     if not everything:
+        if kind in KINDS_WITH_ID and found["least"] is not None and not found["without"]:
+            between = F.col("page_id").between(found["least"], found["greatest"])
+            of_kind = of_kind.filter(between | F.col("page_id").isNull())
         of_kind = of_kind.join(F.broadcast(keys), url_key("url") == F.col("url_key"), "left_semi")
     return last_visits(parse_kind(of_kind, kind)), everything
 
@@ -223,12 +238,13 @@ def build_segments(
 ) -> DataFrame:
     """Segment rows of everything reachable from the landed site index pages.
 
+    ``page_id`` of a segment or program page must be the id in its ``url``, or null.
     ``options`` are those of ``segments_from``: bounds, month filter, hosts and limit.
     """
 
     def visits(kind: str, links: DataFrame | None) -> tuple[DataFrame, bool]:
         if links is None:
             return last_visits(parse_kind(pages, kind)), True
-        return _parse_behind(pages, links, kind, broadcast_bytes)
+        return parse_behind(pages, links, kind, broadcast_bytes)
 
     return segments_from(visits, **options)

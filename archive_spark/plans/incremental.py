@@ -13,7 +13,11 @@ from .crawl import build_segments
 def incremental_segments(
     pages: DataFrame, start: str | None, end: str | None = None, **options
 ) -> DataFrame:
-    """Segments of the months within the range; pages of other months are scanned, not parsed."""
+    """Segments of the months within the range.
+
+    Pages of other months are not parsed; row groups without an id in the range of the
+    links' ids are not read, if the archive is sorted by id as ``save_raw_pages`` leaves it.
+    """
     return build_segments(pages, start=start, end=end, **options)
 
 

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # AQE splits skewed join partitions and merges small ones; it is forced because
@@ -64,14 +64,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Bytes held by the string columns plus 16 for every column of every row."""
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of the string columns of a row plus 16 for every column."""
     width = F.lit(16 * len(df.columns)).cast("bigint")
     for name, dtype in df.dtypes:
         if dtype == "string":
             width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).cast("bigint").alias("n")).first()["n"]
+    return width
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return estimated_bytes(df) <= limit
+    return (df.agg(F.sum(row_bytes(df)).alias("n")).first()["n"] or 0) <= limit

@@ -8,7 +8,7 @@ from archive_spark.operators.aggregates import links_per_page, progress
 from archive_spark.operators.audit import duplicate_segments, missing_durations
 from archive_spark.operators.joins import broken_links
 from archive_spark.operators.links import distinct_requests, month_links, program_link, segment_links
-from archive_spark.plans.crawl import build_segments, last_visits, parse_kind, request_id
+from archive_spark.plans.crawl import build_segments, last_visits, parse_behind, parse_kind, request_id
 from archive_spark.plans.incremental import incremental_segments, upsert_segments
 from archive_spark.schema import RAW_PAGES, SEGMENTS
 from archive_spark.session import scratch_path
@@ -152,3 +152,18 @@ def test_upsert_keeps_rows_without_a_key(spark):
     assert sorted((str(r.k), r.v) for r in got) == [
         ("1", "a"), ("None", "base"), ("None", "x"), ("None", "x")
     ]
+
+
+def test_scan_is_bounded_by_the_ids_of_links(spark, pages):
+    path = scratch_path(spark, "bounded")
+    save_raw_pages(pages, path)
+    links = spark.createDataFrame([(f"{SITE}/broadcasts/{i}",) for i in (11, 13, 12)], "url_key string")
+    behind, everything = parse_behind(read_page_archive(spark, path), links, "broadcast", 1 << 20)
+    plan = behind._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(page_id,13)" in plan and "GreaterThanOrEqual(page_id,11)" in plan
+    assert not everything
+    wanted = links.join(last_visits(parse_kind(pages, "broadcast")), "url_key", "left_semi")
+    assert behind.count() == wanted.count() > 0
+    odd = links.unionByName(links.limit(1).select(F.concat("url_key", F.lit("?x=1")).alias("url_key")))
+    behind, _ = parse_behind(read_page_archive(spark, path), odd, "broadcast", 1 << 20)
+    assert "LessThanOrEqual(page_id" not in behind._jdf.queryExecution().executedPlan().toString()
