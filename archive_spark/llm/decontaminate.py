@@ -1,8 +1,8 @@
 """Benchmark passages in documents: SimHash of item-sized windows, then exact verification.
 
 Windows of a few sizes slide over the words of every document in steps of a fraction of
-their size; a benchmark item is looked for in the windows nearest to its own size. The
-fingerprint of a window has the signs of 64 sums over its word pairs. Item fingerprints are
+their size; a benchmark item is looked for in the windows nearest to its own size, a longer one than
+the longest window by each of its consecutive segments. The fingerprint of a window has the signs of 64 sums over its word pairs. Item fingerprints are
 indexed in four blocks of 16 bits: two fingerprints that differ in at most ``RADIUS`` bits
 differ in at most a fourth of these in some block, and each block lists the items at all
 values that near. So no fingerprint within the radius is missed. What is found is compared
@@ -61,6 +61,13 @@ def window_size(words: int) -> int:
     return min(LONGEST_WINDOW, round(LEAST_WINDOW * SIZE_RATIO**step))
 
 
+def segments(words: int) -> list[tuple[int, int]]:
+    """Start and size of the fewest even segments of at most ``LONGEST_WINDOW`` words."""
+    parts = -(-words // LONGEST_WINDOW)
+    cuts = [words * k // parts for k in range(parts + 1)] if parts else []
+    return [(low, high - low) for low, high in zip(cuts, cuts[1:])]
+
+
 # Each bit of a byte as a byte of its own, so that eight counts run in one 64-bit integer.
 SPREAD = np.array(
     [sum(1 << (8 * k) for k in range(8) if byte >> k & 1) for byte in range(256)], np.uint64
@@ -92,7 +99,11 @@ def fingerprints(sums: np.ndarray, start: int, step: int, pairs: int) -> np.ndar
 
 
 class Items:
-    """Benchmark items of a bounded number, indexed by window size and block value."""
+    """Benchmark items of a bounded number, indexed by window size and block value.
+
+    An item has a fingerprint for each of its segments; ``item`` has the item of a
+    fingerprint, ``offset`` the words of the item before its segment.
+    """
 
     def __init__(self, rows: list[tuple[int, bytes]], radius: int):
         self.ids = [i for i, _ in rows]
@@ -107,15 +118,17 @@ class Items:
         self.weights = [rarity[np.searchsorted(own, s)] for s in self.shingles]
         self.count = words.count
         sums = bit_sums(words)
-        self.prints = np.zeros(len(rows), np.uint64)
+        prints, self.item, self.offset = [], [], []
         by_size: dict[int, list[int]] = {}
-        for k, (first, n) in enumerate(zip(words.first.tolist(), words.count.tolist())):
-            if n:
-                pairs = min(n, LONGEST_WINDOW) - 1
-                window = sums[:, first : first + pairs + 1]
-                self.prints[k] = fingerprints(window, 0, 1, pairs)[0]
+        for k, (first, count) in enumerate(zip(words.first.tolist(), words.count.tolist())):
+            for low, n in segments(count):
+                window = sums[:, first + low : first + low + n]
                 for near in {window_size(n), window_size(round(n * 1.06)), window_size(round(n / 1.06))}:
-                    by_size.setdefault(near, []).append(k)
+                    by_size.setdefault(near, []).append(len(prints))
+                prints.append(fingerprints(window, 0, 1, n - 1)[0])
+                self.item.append(k)
+                self.offset.append(low)
+        self.prints = np.array(prints, np.uint64)
         self.index = {size: self.blocks(np.array(own)) for size, own in by_size.items()}
 
     def blocks(self, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -132,7 +145,7 @@ class Items:
         return tables
 
     def near(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, item, distance) of all pairs within the radius, some more than once."""
+        """(window, fingerprint, distance) of all pairs within the radius, some more than once."""
         found = [(np.zeros(0, np.int64),) * 3]
         for b, (starts, items) in enumerate(self.index[size]):
             value = prints.view(np.uint16)[b::BLOCKS]
@@ -171,21 +184,26 @@ def _search(texts: list[bytes], items: Items, threshold: float) -> list[tuple]:
         step = max(1, size // STEPS)
         start = longest - size
         prints = fingerprints(sums, start, step, max(size - 1, 1))
-        window, item, distance = items.near(size, prints)
+        window, segment, distance = items.near(size, prints)
         tried = set()
-        for w, k, d in sorted(zip(window.tolist(), item.tolist(), distance.tolist()), key=lambda x: x[2]):
+        for w, g, d in sorted(zip(window.tolist(), segment.tolist(), distance.tolist()), key=lambda x: x[2]):
             first = start + w * step - longest
-            margin = size // 4 + 2
+            k, before = items.item[g], items.offset[g]
+            count = int(items.count[k])
+            after = max(0, count - before - size)
+            # Damage between segments shifts where an item seems to begin, so more of these
+            # places are tried for items of several segments.
+            margin = (size if count <= LONGEST_WINDOW else count) // 4 + 2
+            apart = margin + 1 if count <= LONGEST_WINDOW else margin // 4 + 1
             low = min(max(first, 0), total - 1)
             high = min(max(first + size, 1), total)
             for doc in np.unique(words.doc[low:high]).tolist():
-                if (doc, k, low // (margin + 1)) in tried:
+                if (doc, k, (low - before) // apart) in tried:
                     continue
-                tried.add((doc, k, low // (margin + 1)))
+                tried.add((doc, k, (low - before) // apart))
                 begin = int(words.first[doc])
-                s = max(low - margin, begin)
-                rest = max(0, int(items.count[k]) - size)
-                e = min(high + margin + rest, begin + int(words.count[doc]))
+                s = max(low - before - margin, begin)
+                e = min(high + after + margin, begin + int(words.count[doc]))
                 part = words.h[s:e]
                 if len(part) >= SHINGLE:
                     n = len(part) - SHINGLE + 1
@@ -214,8 +232,8 @@ def find_passages(
     words has one shingle of all its words, which is found in a document of just these
     words. ``first_word`` and ``n_words`` give that stretch.
 
-    An item longer than the longest window is looked for by its beginning. Items are searched
-    for in groups of at most ``items_at_once``, whose index is the only
+    An item longer than the longest window is looked for by each of its segments, and the
+    stretch around the whole of it is compared. Items are searched for in groups of at most ``items_at_once``, whose index is the only
     thing sent to all workers; more items mean more passes over the documents. Missing and
     empty texts hold nothing, repeated rows are searched each, items without words or id are
     left out, an empty table on either side gives no rows. Columns other than doc_id,

@@ -114,3 +114,20 @@ def test_items_longer_than_any_window(spark):
     bench = spark.createDataFrame([(5, long)], "item_id long, text string")
     got = dc.find_passages(documents(spark, texts, extra=False), bench).collect()
     assert {r.doc_id for r in got} == {0, 1, None}
+
+
+def test_long_items_without_their_beginning(spark):
+    rng = random.Random(13)
+    items, texts, want = [], [], set()
+    for k, n in enumerate([257, 300, 450, 512, 513, 700, 1000, 1000, 2500, 6000] * 2):
+        words = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        items.append((k, " ".join(words)))
+        lost, hole = int(0.19 * n), int(0.17 * n)
+        for left in (words[lost:], words[:-lost], words[: n // 2] + words[n // 2 + hole :]):
+            around = [[f"v{rng.randrange(5000)}" for _ in range(rng.randrange(400))] for _ in range(2)]
+            want.add((len(texts), k))
+            texts.append(" ".join(around[0] + left + around[1]))
+        texts.append(" ".join(words[: n // 2]))
+    docs = documents(spark, texts, extra=False).filter("doc_id is not null").dropDuplicates(["doc_id"])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in dc.find_passages(docs, bench).collect()} == want
