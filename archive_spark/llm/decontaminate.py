@@ -12,14 +12,16 @@ with the words themselves, by weighted 5-word shingles.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..session import materialize
 from .text import PLAIN, Words, batch_of, chained, pieces, shingles, small, utf8, values
 
 SHINGLE = 5
@@ -102,10 +104,18 @@ class Items:
     """Benchmark items of a bounded number, indexed by window size and block value.
 
     An item has a fingerprint for each of its segments; ``item`` has the item of a
-    fingerprint, ``offset`` the words of the item before its segment.
+    fingerprint, ``offset`` the words of the item before its segment. Weights follow
+    ``total``, the number of all items, and ``seen``, which tells how many of them have each
+    of the given shingles; without these the rows are all items.
     """
 
-    def __init__(self, rows: list[tuple[int, bytes]], radius: int):
+    def __init__(
+        self,
+        rows: list[tuple[int, bytes]],
+        radius: int,
+        total: int | None = None,
+        seen: Callable[[np.ndarray], np.ndarray] | None = None,
+    ):
         self.ids = [i for i, _ in rows]
         self.radius = radius
         plain = [t.translate(PLAIN) for _, t in rows]
@@ -113,8 +123,10 @@ class Items:
         runs, doc = shingles(words, SHINGLE)
         cuts = np.searchsorted(doc, np.arange(1, len(rows)))
         self.shingles = [np.unique(s) for s in np.split(runs, cuts)] if rows else []
-        own, seen = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.shingles]), return_counts=True)
-        rarity = np.log(1 + len(rows) / np.maximum(seen, 1))
+        own, many = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.shingles]), return_counts=True)
+        if seen:
+            many = seen(own)
+        rarity = np.log(1 + (len(rows) if total is None else total) / np.maximum(many, 1))
         self.weights = [rarity[np.searchsorted(own, s)] for s in self.shingles]
         self.count = words.count
         sums = bit_sums(words)
@@ -129,7 +141,7 @@ class Items:
                 self.item.append(k)
                 self.offset.append(low)
         self.prints = np.array(prints, np.uint64)
-        self.index = {size: self.blocks(np.array(own)) for size, own in by_size.items()}
+        self.index = {size: self.blocks(np.array(own)) for size, own in sorted(by_size.items())}
 
     def blocks(self, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each block: where the items of a value begin, and the items by value."""
@@ -234,7 +246,8 @@ def find_passages(
 
     An item longer than the longest window is looked for by each of its segments, and the
     stretch around the whole of it is compared. Items are searched for in groups of at most ``items_at_once``, whose index is the only
-    thing sent to all workers; more items mean more passes over the documents. Missing and
+    thing sent to all workers; more items mean more passes over the documents, and how many
+    items have a shingle is then counted once in a scratch table. Missing and
     empty texts hold nothing, repeated rows are searched each, items without words or id are
     left out, an empty table on either side gives no rows. Columns other than doc_id,
     item_id and text are not looked at.
@@ -261,19 +274,57 @@ def find_passages(
 
 
 def _item_groups(benchmark: DataFrame, radius: int, items_at_once: int) -> Iterator:
-    """Broadcast indexes of at most ``items_at_once`` items; one of none for no items."""
+    """Broadcast indexes of at most ``items_at_once`` items; one of none for no items.
+
+    The rarity of a shingle is that in all items, whatever the groups are.
+    """
     context = benchmark.sparkSession.sparkContext
     known = benchmark.filter("item_id is not null and text is not null")
     known = known.select(benchmark["item_id"].cast("long").alias("item_id"), "text")
+    total, seen = known.count(), None
+    if total > items_at_once:
+        repeated = materialize(_repeated_shingles(known), "benchmark_shingles")
+
+        def seen(own: np.ndarray) -> np.ndarray:
+            return _items_with(repeated, own)
+
     group: list[tuple[int, bytes]] = []
     sent = False
     for row in known.toLocalIterator():
         group.append((row["item_id"], row["text"].encode()))
         if len(group) == items_at_once:
-            yield context.broadcast(Items(group, radius))
+            yield context.broadcast(Items(group, radius, total, seen))
             group, sent = [], True
     if group or not sent:
-        yield context.broadcast(Items(group, radius))
+        yield context.broadcast(Items(group, radius, total, seen))
+
+
+def _repeated_shingles(known: DataFrame) -> DataFrame:
+    """The shingles of two items or more, with the number of their items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            texts = utf8(batch, "text")
+            for piece in pieces(texts):
+                runs, item = shingles(Words([t.translate(PLAIN) for t in texts[piece]]), SHINGLE)
+                order = np.lexsort((runs, item))
+                runs, item = runs[order], item[order]
+                new = np.ones(len(runs), bool)
+                new[1:] = (runs[1:] != runs[:-1]) | (item[1:] != item[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(runs[new].view(np.int64))], ["shingle"])
+
+    counts = known.select("text").mapInArrow(run, "shingle long").groupBy("shingle")
+    return counts.agg(F.count("*").alias("items")).filter("items > 1")
+
+
+def _items_with(repeated: DataFrame, own: np.ndarray) -> np.ndarray:
+    """The number of items with each of the given sorted shingles, each of which some item has."""
+    asked = repeated.sparkSession.createDataFrame(pa.table({"shingle": own.view(np.int64)}))
+    found = repeated.join(F.broadcast(asked), "shingle").toArrow()
+    many = np.ones(len(own), np.int64)
+    at = found["shingle"].to_numpy().view(np.uint64)
+    many[np.searchsorted(own, at)] = found["items"].to_numpy()
+    return many
 
 
 def without_passages(
@@ -283,18 +334,28 @@ def without_passages(
     radius: int = RADIUS,
     items_at_once: int = ITEMS_AT_ONCE,
 ) -> DataFrame:
-    """The documents, with all their columns, that hold no benchmark item; nothing is shuffled."""
+    """The documents, with all their columns, that hold no benchmark item; nothing is shuffled.
+
+    Documents are marked by every group and left out at the end, so that each group sees the
+    same runs of documents, and with them the same windows.
+    """
+    mark = "_held"
+    while mark in docs.columns:
+        mark += "_"
 
-    def filtered(rows: DataFrame, shared) -> DataFrame:
+    def marked(rows: DataFrame, shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in small(batches):
                 texts = utf8(batch, "text")
-                keep = np.ones(len(texts), bool)
+                held = np.array(values(batch, mark), bool)
                 for piece in pieces(texts):
                     for doc, *_ in _search(texts[piece], shared.value, threshold):
-                        keep[piece.start + doc] = False
-                yield batch.filter(pa.array(keep))
+                        held[piece.start + doc] = True
+                at = batch.schema.get_field_index(mark)
+                yield batch.set_column(at, batch.schema.field(at), pa.array(held))
 
         return rows.mapInArrow(run, rows.schema)
 
-    return reduce(filtered, _item_groups(benchmark, radius, items_at_once), docs)
+    rows = docs.withColumn(mark, F.lit(False))
+    rows = reduce(marked, _item_groups(benchmark, radius, items_at_once), rows)
+    return rows.filter(~F.col(mark)).drop(mark)

@@ -131,3 +131,23 @@ def test_long_items_without_their_beginning(spark):
     docs = documents(spark, texts, extra=False).filter("doc_id is not null").dropDuplicates(["doc_id"])
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in dc.find_passages(docs, bench).collect()} == want
+
+
+def test_groups_of_items_change_nothing(spark):
+    rng = random.Random(21)
+    shared = [f"s{k}" for k in range(30)]
+    items = [(k, " ".join([f"i{k}x{j}" for j in range(12)] + shared)) for k in range(8)]
+    items += [(8, " ".join(shared)), (9, items[0][1]), (10, "of four words only"), (11, "")]
+    items.append((12, " ".join(f"w{rng.randrange(300)}" for _ in range(600))))
+    texts = [text for _, text in items]
+    texts += [" ".join(["before"] * n + text.split()[: 43 - n] + ["after"] * n) for _, text in items for n in range(9, 18)]
+    docs = documents(spark, texts, extra=False)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def found(at_once):
+        return sorted(map(str, dc.find_passages(docs, bench, items_at_once=at_once).collect()))
+
+    whole = found(1000)
+    assert len(whole) > 40 and found(1) == whole and found(5) == whole
+    kept = dc.without_passages(docs, bench).count()
+    assert dc.without_passages(docs, bench, items_at_once=5).count() == kept
