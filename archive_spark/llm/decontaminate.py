@@ -6,7 +6,8 @@ the longest window by each of its consecutive segments. The fingerprint of a win
 indexed in four blocks of 16 bits: two fingerprints that differ in at most ``RADIUS`` bits
 differ in at most a fourth of these in some block, and each block lists the items at all
 values that near. So no fingerprint within the radius is missed. What is found is compared
-with the words themselves, by weighted 5-word shingles.
+with the words themselves, by weighted 5-word shingles. Items shorter than the least window
+are looked up by their shingles instead.
 """
 
 from __future__ import annotations
@@ -133,7 +134,7 @@ class Items:
         prints, self.item, self.offset = [], [], []
         by_size: dict[int, list[int]] = {}
         for k, (first, count) in enumerate(zip(words.first.tolist(), words.count.tolist())):
-            for low, n in segments(count):
+            for low, n in segments(count) if count >= LEAST_WINDOW else ():
                 window = sums[:, first + low : first + low + n]
                 for near in {window_size(n), window_size(round(n * 1.06)), window_size(round(n / 1.06))}:
                     by_size.setdefault(near, []).append(len(prints))
@@ -141,8 +142,23 @@ class Items:
                 self.item.append(k)
                 self.offset.append(low)
         self.prints = np.array(prints, np.uint64)
+        self.short = self.runs_of_short(words)
         self.index = {size: self.blocks(np.array(own)) for size, own in sorted(by_size.items())}
 
+    def runs_of_short(self, words: Words) -> dict[int, tuple[np.ndarray, ...]]:
+        """By length: sorted hashes of the runs of items below the least window, item, offset."""
+        runs: dict[int, list[tuple[int, int, int]]] = {}
+        for k in np.flatnonzero((words.count > 0) & (words.count < LEAST_WINDOW)).tolist():
+            first, n = int(words.first[k]), int(words.count[k])
+            length = min(n, SHINGLE)
+            for at in range(n - length + 1):
+                part = words.h[first + at : first + at + length]
+                runs.setdefault(length, []).append((int(chained(*part.reshape(-1, 1))[0]), k, at))
+        return {
+            length: tuple(np.array(x, t) for x, t in zip(zip(*sorted(own)), (np.uint64, np.int64, np.int64)))
+            for length, own in runs.items()
+        }
+
     def blocks(self, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each block: where the items of a value begin, and the items by value."""
         around = nearby(BLOCK_BITS, self.radius // BLOCKS)
@@ -182,16 +198,53 @@ class Items:
         return float(weights[np.isin(self.shingles[item], present)].sum() / weights.sum())
 
 
+def _present(part: np.ndarray) -> np.ndarray:
+    """The shingles of some words, or the one of all if they are fewer."""
+    n = len(part) - SHINGLE + 1
+    return chained(*(part[j : n + j] for j in range(SHINGLE))) if n > 0 else chained(*part.reshape(-1, 1))
+
+
+def _short(words: Words, items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(document, item, first word, end) where a run of an item below the least window stands."""
+    for length, (known, item, offset) in items.short.items():
+        n = len(words.h) - length + 1
+        if n <= 0:
+            continue
+        runs = chained(*(words.h[j : n + j] for j in range(length)))
+        low = np.searchsorted(known, runs)
+        hit = (known[np.minimum(low, len(known) - 1)] == runs) & (words.doc[:n] == words.doc[length - 1 :])
+        at = np.flatnonzero(hit)
+        low = low[at]
+        many = np.searchsorted(known, runs[at], side="right") - low
+        place = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
+        at, k = np.repeat(at, many), item[place]
+        found = np.stack([words.doc[at], k, at - offset[place]])
+        if length < SHINGLE:
+            # Such a run is the whole item: the first place in a document is as good as any.
+            found = found[:, np.unique(found[:2], axis=1, return_index=True)[1]]
+        else:
+            found = np.unique(found, axis=1)
+        for doc, k, first in found.T.tolist():
+            count, begin = int(items.count[k]), int(words.first[doc])
+            margin = count // 4 + 2 if length == SHINGLE else 0
+            end = begin + int(words.count[doc])
+            yield doc, k, max(first - margin, begin), min(first + count + margin, end)
+
+
 def _search(texts: list[bytes], items: Items, threshold: float) -> list[tuple]:
     """(document, item, first word, words, distance, similarity), the best of each two."""
     words = Words([t.translate(PLAIN) for t in texts])
     total = len(words.h)
     if not total:
         return []
+    best: dict[tuple[int, int], tuple] = {}
+    for doc, k, s, e in _short(words, items):
+        same = items.similarity(k, _present(words.h[s:e]))
+        if same >= threshold and same > best.get((doc, k), (0,) * 6)[5]:
+            best[doc, k] = (doc, k, s - int(words.first[doc]), e - s, None, same)
     longest = max(items.index, default=0)
     sums = bit_sums(words)
     sums = np.pad(sums, ((0, 0), (longest, longest)), "edge")
-    best: dict[tuple[int, int], tuple] = {}
     for size in items.index:
         step = max(1, size // STEPS)
         start = longest - size
@@ -216,13 +269,7 @@ def _search(texts: list[bytes], items: Items, threshold: float) -> list[tuple]:
                 begin = int(words.first[doc])
                 s = max(low - before - margin, begin)
                 e = min(high + after + margin, begin + int(words.count[doc]))
-                part = words.h[s:e]
-                if len(part) >= SHINGLE:
-                    n = len(part) - SHINGLE + 1
-                    present = chained(*(part[j : n + j] for j in range(SHINGLE)))
-                else:
-                    present = chained(*part.reshape(-1, 1))
-                same = items.similarity(k, present)
+                same = items.similarity(k, _present(words.h[s:e]))
                 row = (doc, k, s - begin, e - s, d, same)
                 if same >= threshold and same > best.get((doc, k), (0,) * 6)[5]:
                     best[doc, k] = row
@@ -241,8 +288,9 @@ def find_passages(
     Words are runs of letters, digits and characters beyond ASCII, in small letters. An item
     is held if a stretch somewhat longer than the window has ``threshold`` or more of the
     item's 5-word shingles, weighted by their rarity in the benchmark; an item of 1 to 4
-    words has one shingle of all its words, which is found in a document of just these
-    words. ``first_word`` and ``n_words`` give that stretch.
+    words has one shingle of all its words, which is found wherever they stand in this order.
+    ``first_word`` and ``n_words`` give that stretch. Items of less than 8 words are looked
+    up by their shingles, without fingerprints, and have no ``hamming``.
 
     An item longer than the longest window is looked for by each of its segments, and the
     stretch around the whole of it is compared. Items are searched for in groups of at most ``items_at_once``, whose index is the only

@@ -151,3 +151,20 @@ def test_groups_of_items_change_nothing(spark):
     assert len(whole) > 40 and found(1) == whole and found(5) == whole
     kept = dc.without_passages(docs, bench).count()
     assert dc.without_passages(docs, bench, items_at_once=5).count() == kept
+
+
+def test_short_items_in_longer_documents(spark):
+    rng = random.Random(31)
+    items = [(n, " ".join(f"q{n}x{j}" for j in range(n))) for n in range(1, 10)]
+    texts, want = [], set()
+    for n, own in items * 15:
+        around = [" ".join(f"v{rng.randrange(5000)}" for _ in range(rng.randrange(1, 60))) for _ in range(2)]
+        want.add((len(texts), n))
+        texts += [f"{around[0]} {own.upper()}, {around[1]}", f"{around[0]} {around[1]} {own[:-1]}"]
+    docs = documents(spark, texts, extra=False).filter("doc_id is not null").dropDuplicates(["doc_id"])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = dc.find_passages(docs, bench).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert {x for x in got if x[1] < 8} == {x for x in want if x[1] < 8}
+    first = {r.doc_id: r for r in rows if r.item_id == 3}
+    assert all(plain(texts[d])[r.first_word : r.first_word + r.n_words] == plain(items[2][1]) for d, r in first.items())
