@@ -185,26 +185,56 @@ class Templates:
                     found.append((template, stop - length, at + end - length, length))
         return found
 
-    def chains(self, found: list[tuple[int, int, int, int]]) -> list[tuple[float, int, int, int]]:
-        """Best chain of each template as (share covered, template, first word, end)."""
-        best = []
+    def chains(
+        self, found: list[tuple[int, int, int, int]], least_cover: float
+    ) -> list[tuple[float, int, int, int]]:
+        """Chains of each template as (share covered, template, first word, end).
+
+        The best one, and apart from it all that cover ``least_cover``, better ones first.
+        """
+        taken = []
         for template in sorted({m[0] for m in found}):
-            own = sorted((t, p, n) for k, p, t, n in found if k == template)
-            cover, start, ends = [], [], []
-            for k, (t, p, n) in enumerate(own):
-                cover.append(n)
-                start.append(t)
-                ends.append(t + n)
-                low = bisect_left(own, (t - self.size[template] - self.gap,))
-                for j in range(low, k):
-                    tj, pj, nj = own[j]
-                    new = min(n, p + n - (pj + nj), t + n - (tj + nj))
-                    near = t - (tj + nj) <= self.gap
-                    if near and tj < t and pj < p and new > 0 and cover[j] + new > cover[k]:
-                        cover[k], start[k] = cover[j] + new, start[j]
-            top = max(range(len(own)), key=lambda k: (cover[k], -start[k]))
-            best.append((min(1.0, cover[top] / self.size[template]), template, start[top], ends[top]))
-        return best
+            todo = [sorted((t, p, n) for k, p, t, n in found if k == template)]
+            best = True
+            while todo:
+                own = todo.pop()
+                apart: list[tuple[int, int]] = []
+                for cover, start, end in self.chained(template, own):
+                    share = min(1.0, cover / self.size[template])
+                    if share < least_cover and not best:
+                        break
+                    k = bisect_left(apart, (start,))
+                    if (k and apart[k - 1][1] > start) or (k < len(apart) and apart[k][0] < end):
+                        continue
+                    apart.insert(k, (start, end))
+                    taken.append((share, template, start, end))
+                    best = False
+                # A chain that ran into a taken one may have a whole one in what is left of it.
+                k, left = 0, [[] for _ in range(len(apart) + 1)]
+                for t, p, n in own if apart else ():
+                    while k < len(apart) and apart[k][1] <= t:
+                        k += 1
+                    if k == len(apart) or t + n <= apart[k][0]:
+                        left[k].append((t, p, n))
+                todo += [g for g in left if g and sum(m[2] for m in g) >= least_cover * self.size[template]]
+        return taken
+
+    def chained(self, template: int, own: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """The best chain to each match as (words covered, first word, end), best first."""
+        cover, start, ends = [], [], []
+        for k, (t, p, n) in enumerate(own):
+            cover.append(n)
+            start.append(t)
+            ends.append(t + n)
+            low = bisect_left(own, (t - self.size[template] - self.gap,))
+            for j in range(low, k):
+                tj, pj, nj = own[j]
+                new = min(n, p + n - (pj + nj), t + n - (tj + nj))
+                near = t - (tj + nj) <= self.gap
+                if near and tj < t and pj < p and new > 0 and cover[j] + new > cover[k]:
+                    cover[k], start[k] = cover[j] + new, start[j]
+        order = sorted(range(len(own)), key=lambda k: (-cover[k], start[k]))
+        return [(cover[k], start[k], ends[k]) for k in order]
 
 
 def scan_licenses(
@@ -218,9 +248,9 @@ def scan_licenses(
 
     Base columns tell where the fixed phrases stand (n_base counts all places). ``labels``
     adds each template of which matches of ``least_match`` words or more, chained with at
-    most ``most_gap`` words between them, cover ``least_cover``; ``spans`` gives them as
-    ``label:first word:end``. ``score`` is the best cover, 1 with a phrase. A missing or
-    empty text has no words, no labels (empty strings) and score 0; repeated rows are
+    most ``most_gap`` words between them, cover ``least_cover``; ``spans`` gives every such
+    chain apart from better ones of its template as ``label:first word:end``. ``score`` is
+    the best cover, 1 with a phrase. A missing or empty text has no words, no labels (empty strings) and score 0; repeated rows are
     searched each; an empty table gives no rows; columns other than doc_id and text are not
     looked at.
     """
@@ -283,7 +313,7 @@ def scan_licenses(
             labels = {label for _, label in at}
             score = 1.0 if at else 0.0
             spans = []
-            for cover, template, start, end in known.chains(found.get(d, [])):
+            for cover, template, start, end in known.chains(found.get(d, []), least_cover):
                 score = max(score, cover)
                 if cover >= least_cover:
                     spans.append((start, end, known.names[template]))

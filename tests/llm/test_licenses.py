@@ -92,3 +92,16 @@ def test_damaged_and_partial_templates(spark):
     assert "text:mit" not in rows[2].labels and 0.2 < rows[2].score < 0.4
     assert rows[3].labels == "" and "notice:gpl" in rows[4].labels
     assert rows[5].labels == "" and rows[5].spans == ""
+
+
+def test_every_copy_of_a_template_has_its_span(spark):
+    from archive_spark.llm import licenses
+
+    name = list(licenses.TEMPLATES)[0]
+    text = licenses.TEMPLATES[name]
+    n = len(licenses.plain_words(text.encode()))
+    texts = [f"{text} aside from it {text}\n{text}", text]
+    rows = {r.doc_id: r for r in licenses.scan_licenses(documents(spark, texts, extra=False).filter("doc_id < 2")).collect()}
+    starts = [0, n + 3, 2 * n + 3]
+    assert [x for x in rows[0].spans.split(",") if x.startswith(name + ":")] == [f"{name}:{s}:{s + n}" for s in starts]
+    assert [x for x in rows[1].spans.split(",") if x.startswith(name + ":")] == [f"{name}:0:{n}"]
