@@ -1,7 +1,7 @@
-"""Near duplicates by word shingles: a MinHash LSH forest, then exact verification.
+"""Near duplicates by word shingles: MinHash LSH banding, then exact verification.
 
-Each tree of the forest is a trie over sequences of MinHash values; documents meet where
-they share a prefix. The prefix is shortened from its full depth until pairs at the
+Each tree is a band of MinHash values; documents meet where they share its whole prefix.
+The length of the prefix is one for all, the longest up to ``DEPTH`` with which pairs at the
 threshold meet in some tree with the target recall. Equal texts are one entry. Entries that
 meet are compared in the first tree in which they do, large trie nodes in blocks, and every
 pair whose signatures do not rule it out is verified on all its shingles. Only sums and a
