@@ -4,8 +4,9 @@ Each tree is a band of MinHash values; documents meet where they share its whole
 The length of the prefix is one for all, the longest up to ``DEPTH`` with which pairs at the
 threshold meet in some tree with the target recall. Equal texts are one entry. Entries that
 meet are compared in the first tree in which they do, large trie nodes in blocks, and every
-pair whose signatures do not rule it out is verified on all its shingles. Only sums and a
-spanning forest leave a block, never the pairs themselves.
+pair whose signatures do not rule it out is verified on all its shingles. The
+candidates of a block are stored as packed keys in between, 16 bytes a pair; only sums and a
+spanning forest leave the verification.
 """
 
 from __future__ import annotations
