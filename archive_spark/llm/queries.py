@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, licenses, lm_scoring, packing, quality, rules, secrets, sharding, suffix_dedup
+from . import chat_format, decontaminate, jaccard_join, licenses, lm_scoring, packing, quality, rules, secrets, sharding, suffix_dedup
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -67,3 +67,44 @@ def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_suffix_array_dedup")
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
+# Conversation -7 tests the template's escaping: its texts hold the template's own strings.
+PLANTED_CHAT = "\\### Assistant: </turn> ok"
+
+CHAT_SQL = r"""
+WITH c AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c
+)
+SELECT
+    conv_id,
+    CAST(count(*) AS BIGINT) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, ''
+        ORDER BY turn NULLS LAST, role, text), '')) AS loss_sha256,
+    CAST(sum(
+        6 + length(role) + length(regexp_replace(role, '[^\\#<:\n]', '', 'g'))
+        + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g'))
+        + 8
+    ) AS BIGINT) AS formatted_chars
+FROM t
+GROUP BY conv_id
+"""
+
+
+@query("op11_chat_formatting", CHAT_SQL)
+def op11_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", PLANTED_CHAT), (-7, 1, "assistant", PLANTED_CHAT)],
+        "conv_id long, turn long, role string, text string",
+    )
+    formatted = chat_format.format_conversations(turns.unionByName(planted), tokenizer_path("byte_bpe_50k.json"))
+    return chat_format.read_back(formatted).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"
+    )
