@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, jaccard_join, licenses, lm_scoring, packing, quality, rules, secrets, sharding, suffix_dedup
+from . import chat_format, decontaminate, hard_negatives, jaccard_join, licenses, lm_scoring, packing, quality, rules, secrets, sharding, suffix_dedup
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -108,3 +108,38 @@ def op11_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.read_back(formatted).select(
         "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"
     )
+
+
+NEGATIVES_SQL = """
+WITH r AS (
+    SELECT DISTINCT vec_id, CAST(label AS BIGINT) AS label, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), q AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM r
+), s AS (
+    SELECT a.vec_id AS anchor_id, a.label AS a_label, b.vec_id, b.label,
+           coalesce(list_sum(list_transform(range(1, least(len(a.v), len(b.v)) + 1), lambda i: a.v[i] * b.v[i])), 0) AS score
+    FROM q a JOIN q b ON a.vec_id % 100 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k
+        FROM s WHERE label = a_label AND vec_id <> anchor_id
+    ) WHERE k <= 5
+), n AS (
+    SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.a_label
+    WHERE 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id,
+       CAST(positive_score AS BIGINT) AS positive_score, CAST(negative_score AS BIGINT) AS negative_score
+FROM n WHERE rank <= 5
+"""
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
