@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, hard_negatives, jaccard_join, licenses, lm_scoring, packing, quality, rules, secrets, sharding, suffix_dedup
+from . import chat_format, decontaminate, hard_negatives, merkle, jaccard_join, licenses, lm_scoring, packing, quality, rules, secrets, sharding, suffix_dedup
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -143,3 +143,9 @@ FROM n WHERE rank <= 5
 @query("op12_hard_negatives", NEGATIVES_SQL)
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+@query("op13_merkle_manifest")
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    # Folding needs the tree's levels in order; DuckDB's SQL has no fold, so tests/llm compares a plain version.
+    return merkle.manifest(table(spark, folder, "documents"))
