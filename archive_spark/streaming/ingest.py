@@ -1,17 +1,23 @@
-"""Segments from pages as they land.
+"""Segments from pages as they land, with the last visit of every page kept as state.
 
-The stream does what is costly and belongs to one page: it parses. Every micro-batch adds
-one partition ``batch_id=<n>`` of parsed pages per kind. A batch that is run again after a
-lost executor or a restart overwrites its own partitions, so rows are neither lost nor
-doubled, and no file is rewritten while it is read.
+Each micro-batch is scanned once: it is written by kind to a folder of its own, and each
+kind's parser reads only its part. The parsed pages are merged into the state of their
+kind: the last visit per URL key, stored in buckets of the key. A batch rewrites only the
+buckets it touches, into a new version named by its batch id, and publishes them by
+writing its manifest last. Readers take, per bucket, the newest published version. A
+batch run again after a lost executor or a restart rebuilds its versions from those
+published before it, so rows are neither lost nor doubled, and no file is rewritten
+while it is read.
 
 Which list a page stands on, and which program lists it, may be known only after the page
-has landed. So the walk from the site index to segments is done on reading, over the last
-visits of the narrow parsed pages; the result does not depend on the order of arrival.
+has landed. So the walk from the site index to segments is done on reading, over the
+stored last visits, which no longer need a window over all visits ever parsed; the result
+does not depend on the order of arrival.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +27,76 @@ from ..operators.parse import ARCHIVE_PROFILES
 from ..plans.crawl import last_visits, parse_kind, segments_from
 from ..schema import RAW_PAGES
 
+BUCKETS = 64
+MANIFEST = "state/_manifest"
+
+
+def bucket_of(key: str = "url_key", buckets: int = BUCKETS):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def _parsed_schema(spark: SparkSession, kind: str) -> T.StructType:
+    return parse_kind(spark.createDataFrame([], RAW_PAGES), kind).schema
+
+
+def versions(spark: SparkSession, out: str, below: int | None = None) -> dict[tuple[str, int], int]:
+    """Newest published version of each (kind, bucket): at most kinds x buckets entries."""
+    try:
+        manifest = spark.read.parquet(f"{out}/{MANIFEST}")
+    except AnalysisException:
+        return {}
+    if below is not None:
+        manifest = manifest.filter(F.col("version") < below)
+    newest = manifest.groupBy("kind", "bucket").agg(F.max("version").alias("v")).collect()
+    return {(r.kind, r.bucket): r.v for r in newest}
+
+
+def _paths(out: str, kind: str, found: dict, buckets=None) -> list[str]:
+    return [
+        f"{out}/state/{k}/v={v}/bucket={b}"
+        for (k, b), v in sorted(found.items())
+        if k == kind and (buckets is None or b in buckets)
+    ]
+
+
+def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str, buckets: int = BUCKETS) -> None:
+    """Merge one batch of raw pages into the state of every kind and publish it."""
+    landed = f"{out}/_landed/batch_id={batch_id}"
+    batch.write.mode("overwrite").partitionBy("page_kind").parquet(landed)
+    raw = spark.read.schema(RAW_PAGES).parquet(landed)
+    before = versions(spark, out, below=batch_id)
+    published = []
+    for kind in ARCHIVE_PROFILES:
+        schema = _parsed_schema(spark, kind)
+        delta = last_visits(parse_kind(raw.filter(F.col("page_kind") == kind), kind))
+        delta = delta.withColumn("bucket", bucket_of(buckets=buckets))
+        delta.write.mode("overwrite").parquet(f"{out}/_delta/batch_id={batch_id}/{kind}")
+        delta = spark.read.parquet(f"{out}/_delta/batch_id={batch_id}/{kind}")
+        touched = {r.bucket for r in delta.select("bucket").distinct().collect()}
+        if not touched:
+            continue
+        old = _read(spark, _paths(out, kind, before, touched), schema)
+        merged = last_visits(old.unionByName(delta.select(*schema.names)))
+        merged = merged.withColumn("bucket", bucket_of(buckets=buckets))
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/state/{kind}/v={batch_id}")
+        published += [(kind, b, batch_id) for b in sorted(touched)]
+    manifest = spark.createDataFrame(published, "kind string, bucket int, version long")
+    manifest.write.mode("overwrite").parquet(f"{out}/{MANIFEST}/batch_id={batch_id}")
+    _drop(spark, landed)
+    _drop(spark, f"{out}/_delta/batch_id={batch_id}")
+
 
 def stream_segments(
     spark: SparkSession,
@@ -30,20 +106,18 @@ def stream_segments(
     schema: T.StructType = RAW_PAGES,
     file_format: str = "parquet",
     max_files: int | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Parse pages that are new in ``source`` and append them, by kind, to ``out``.
+    """Parse pages that are new in ``source`` and merge them into the state in ``out``.
 
-    Runs until all present files are read (``availableNow``). Each kind is a filtered read
-    of the batch, so sources partitioned or sorted by ``page_kind`` are read once in all.
+    Runs until all present files are read (``availableNow``). Each batch is scanned once.
     """
     reader = spark.readStream.format(file_format).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for kind in ARCHIVE_PROFILES:
-            parsed = parse_kind(batch, kind)
-            parsed.write.mode("overwrite").parquet(f"{out}/{kind}/batch_id={batch_id}")
+        merge_batch(spark, batch.select(*RAW_PAGES.names), batch_id, out, buckets)
 
     return (
         reader.load(source)
@@ -54,25 +128,42 @@ def stream_segments(
     )
 
 
-def parsed_pages(spark: SparkSession, out: str, kind: str) -> DataFrame:
-    """Last visits of all pages of ``kind`` parsed so far."""
-    return last_visits(spark.read.parquet(f"{out}/{kind}").drop("batch_id"))
+def parsed_pages(spark: SparkSession, out: str, kind: str, buckets=None) -> DataFrame:
+    """Last visits of the pages of ``kind`` parsed so far, of the given buckets or all."""
+    return _read(spark, _paths(out, kind, versions(spark, out), buckets), _parsed_schema(spark, kind))
 
 
-def read_current(spark: SparkSession, out: str, **options) -> DataFrame:
-    """Segments of all pages parsed so far; ``options`` are those of ``segments_from``."""
+def read_current(spark: SparkSession, out: str, buckets: int = BUCKETS, **options) -> DataFrame:
+    """Segments of all pages parsed so far; ``options`` are those of ``segments_from``.
+
+    A kind's state is read only in the buckets of the links that lead to it, and only
+    pages behind these links are kept.
+    """
+    found = versions(spark, out)
 
     def visits(kind: str, links: DataFrame | None) -> tuple[DataFrame, bool]:
-        return parsed_pages(spark, out, kind), True
+        schema = _parsed_schema(spark, kind)
+        if links is None:
+            return _read(spark, _paths(out, kind, found), schema), True
+        keys = links.select("url_key").distinct()
+        wanted = {r.b for r in keys.select(bucket_of(buckets=buckets).alias("b")).distinct().collect()}
+        pages = _read(spark, _paths(out, kind, found, wanted), schema)
+        return pages.join(keys, "url_key", "left_semi"), False
 
     return segments_from(visits, **options)
 
 
-def compact(spark: SparkSession, out: str, into: str) -> None:
-    """Write the last visits found in ``out`` as the one batch of a new folder ``into``.
+def compact(spark: SparkSession, out: str, into: str, buckets: int = BUCKETS) -> None:
+    """Write the state found in ``out`` as the one version (-1) of a new folder ``into``.
 
     Run it while no stream writes to ``out``. Let the stream go on into the new folder with
     the same checkpoint: its next batches have higher numbers than those gathered.
     """
+    published = []
     for kind in ARCHIVE_PROFILES:
-        parsed_pages(spark, out, kind).write.parquet(f"{into}/{kind}/batch_id=-1")
+        pages = parsed_pages(spark, out, kind).withColumn("bucket", bucket_of(buckets=buckets))
+        pages.write.partitionBy("bucket").parquet(f"{into}/state/{kind}/v=-1")
+        stored = spark.read.parquet(f"{into}/state/{kind}/v=-1").select("bucket").distinct().collect()
+        published += [(kind, r.bucket, -1) for r in stored]
+    manifest = spark.createDataFrame(published, "kind string, bucket int, version long")
+    manifest.write.parquet(f"{into}/{MANIFEST}/batch_id=-1")

@@ -167,3 +167,20 @@ def test_scan_is_bounded_by_the_ids_of_links(spark, pages):
     odd = links.unionByName(links.limit(1).select(F.concat("url_key", F.lit("?x=1")).alias("url_key")))
     behind, _ = parse_behind(read_page_archive(spark, path), odd, "broadcast", 1 << 20)
     assert "LessThanOrEqual(page_id" not in behind._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stream_state_rewrites_touched_buckets_only(spark, pages):
+    from archive_spark.streaming.ingest import merge_batch, versions
+
+    path = scratch_path(spark, "state")
+    merge_batch(spark, pages, 0, path)
+    first = versions(spark, path)
+    merge_batch(spark, pages, 0, path)  # the same batch again, as after a restart
+    assert versions(spark, path) == first
+    one = pages.filter(F.col("page_kind") == "program").limit(1)
+    merge_batch(spark, one, 1, path)
+    now = versions(spark, path)
+    changed = {key for key in now if now[key] != first.get(key)}
+    assert len(changed) == 1 and next(iter(changed))[0] == "program"
+    expected = rows(build_segments(pages, hosts=HOSTS))
+    assert rows(read_current(spark, path, hosts=HOSTS)) == expected
