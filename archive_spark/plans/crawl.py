@@ -143,15 +143,18 @@ def evening_segments(listing: DataFrame, parsed: DataFrame, missing: str = "empt
 
 
 def parse_behind(
-    pages: DataFrame, links: DataFrame, kind: str, limit: int
+    pages: DataFrame, links: DataFrame, kind: str, limit: int, index: DataFrame | None = None
 ) -> tuple[DataFrame, bool]:
     """Last visits of the pages of ``kind``; only those behind ``links`` if these are few.
 
     ``links`` have distinct values of ``url_key``. Few keys are broadcast to the scan, so pages outside are not even parsed. Too many
-    to broadcast: all pages of the kind are parsed where they are scanned, which the
-    second value tells. If all links name an id, the least and the greatest one bound the
-    scan, so that row groups of an archive sorted by id are skipped; ids are given out in
-    order of time, so those of a month stand close together.
+    to broadcast: with the ``index`` of a bucketed archive (``pages`` then has ``bucket``),
+    links joined to it name the buckets to read, only pages there are parsed, and the
+    parsed rows are joined to the links; without one, all pages of the kind are parsed
+    where they are scanned, which the second value tells. If all links name an id, the
+    least and the greatest one bound the scan, so that row groups of an archive sorted by
+    id are skipped; ids are given out in order of time, so those of a month stand close
+    together.
     """
     keys = links.select("url_key")
     page_id = request_id("url_key")
@@ -161,14 +164,22 @@ def parse_behind(
         F.max(page_id).alias("greatest"),
         F.count_if(page_id.isNull()).alias("without"),
     ).first()
-    of_kind = pages.filter(F.col("page_kind") == kind)
-    everything = (found["bytes"] or 0) > limit
-    if not everything:
-        if kind in KINDS_WITH_ID and found["least"] is not None and not found["without"]:
-            between = F.col("page_id").between(found["least"], found["greatest"])
-            of_kind = of_kind.filter(between | F.col("page_id").isNull())
+    every = pages.filter(F.col("page_kind") == kind)
+    if index is None and (found["bytes"] or 0) > limit:
+        return last_visits(parse_kind(every, kind)), True
+    of_kind = every
+    if kind in KINDS_WITH_ID and found["least"] is not None and not found["without"]:
+        between = F.col("page_id").between(found["least"], found["greatest"])
+        of_kind = of_kind.filter(between | F.col("page_id").isNull())
+    if (found["bytes"] or 0) <= limit:
         of_kind = of_kind.join(F.broadcast(keys), url_key("url") == F.col("url_key"), "left_semi")
-    return last_visits(parse_kind(of_kind, kind)), everything
+        return last_visits(parse_kind(of_kind.drop("bucket"), kind)), False
+    # At most kinds x buckets values, a number fixed by the archive.
+    wanted = keys.join(index.filter(F.col("page_kind") == kind), "url_key").select("bucket").distinct()
+    buckets = sorted(r.bucket for r in wanted.collect())
+    of_kind = of_kind.filter(F.col("bucket").isin(buckets))
+    parsed = last_visits(parse_kind(of_kind.drop("bucket"), kind))
+    return parsed.join(keys, "url_key", "left_semi"), False
 
 
 # Last visits of the parsed pages of a kind, at least of those behind the links if there are
@@ -234,17 +245,19 @@ def segments_from(
 
 
 def build_segments(
-    pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, **options
+    pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, index: DataFrame | None = None, **options
 ) -> DataFrame:
     """Segment rows of everything reachable from the landed site index pages.
 
     ``page_id`` of a segment or program page must be the id in its ``url``, or null.
+    With the ``index`` of a bucketed archive, many links read only their buckets.
     ``options`` are those of ``segments_from``: bounds, month filter, hosts and limit.
     """
+    plain = pages.drop("bucket")
 
     def visits(kind: str, links: DataFrame | None) -> tuple[DataFrame, bool]:
         if links is None:
-            return last_visits(parse_kind(pages, kind)), True
-        return parse_behind(pages, links, kind, broadcast_bytes)
+            return last_visits(parse_kind(plain, kind)), True
+        return parse_behind(pages if index is not None else plain, links, kind, broadcast_bytes, index)
 
     return segments_from(visits, **options)

@@ -1,6 +1,6 @@
 """Reading and writing of landed pages and segment tables."""
 
-from .pages import read_page_archive, read_raw_pages, save_raw_pages
+from .pages import read_page_archive, read_page_index, read_raw_pages, save_raw_pages
 from .segments import (
     export_subset,
     read_segments_csv,
@@ -13,6 +13,7 @@ from .segments import (
 __all__ = [
     "export_subset",
     "read_page_archive",
+    "read_page_index",
     "read_raw_pages",
     "read_segments_csv",
     "read_segments_jsonl",

@@ -184,3 +184,20 @@ def test_stream_state_rewrites_touched_buckets_only(spark, pages):
     assert len(changed) == 1 and next(iter(changed))[0] == "program"
     expected = rows(build_segments(pages, hosts=HOSTS))
     assert rows(read_current(spark, path, hosts=HOSTS)) == expected
+
+
+def test_many_links_read_only_their_buckets(spark, pages):
+    from archive_spark.sources import read_page_index
+
+    path = scratch_path(spark, "bucketed")
+    save_raw_pages(pages, path, buckets=8)
+    archive, index = read_page_archive(spark, path, bucket=True), read_page_index(spark, path)
+    assert index.count() == read_page_archive(spark, path).count()
+    links = spark.createDataFrame([(f"{SITE}/broadcasts/{i}",) for i in (11, 13)], "url_key string")
+    behind, everything = parse_behind(archive, links, "broadcast", 0, index)  # too many to broadcast
+    plan = behind._jdf.queryExecution().executedPlan().toString()
+    assert not everything and "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1][:300]
+    wanted = last_visits(parse_kind(pages, "broadcast")).join(links, "url_key", "left_semi")
+    assert sorted(map(tuple, behind.collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
+    expected = rows(build_segments(pages, hosts=HOSTS))
+    assert rows(build_segments(archive, broadcast_bytes=0, index=index, hosts=HOSTS)) == expected
