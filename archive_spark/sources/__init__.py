@@ -5,6 +5,8 @@ from .segments import (
     export_subset,
     read_segments_csv,
     read_segments_jsonl,
+    read_segments_years,
+    write_segments_by_year,
     write_segments_csv,
     write_segments_json,
     write_segments_jsonl,
@@ -17,7 +19,9 @@ __all__ = [
     "read_raw_pages",
     "read_segments_csv",
     "read_segments_jsonl",
+    "read_segments_years",
     "save_raw_pages",
+    "write_segments_by_year",
     "write_segments_csv",
     "write_segments_json",
     "write_segments_jsonl",

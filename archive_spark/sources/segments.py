@@ -23,15 +23,38 @@ def read_segments_jsonl(
 
 
 def write_segments_jsonl(
-    df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none"
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    compression: str = "none",
+    partition_by: str | None = None,
 ) -> None:
-    """One object per line, keys with null kept."""
-    (
-        df.write.mode(mode)
-        .option("ignoreNullFields", "false")
-        .option("compression", compression)
-        .json(path)
-    )
+    """One object per line, keys with null kept.
+
+    With ``partition_by`` (such as ``year``) there is one folder per value, and an
+    overwrite replaces only the folders of the values present in ``df``; the others stay.
+    Rows are first brought together by that value, large values split over tasks (AQE),
+    so each folder gets few files.
+    """
+    writer = df.write.mode(mode).option("ignoreNullFields", "false").option("compression", compression)
+    if partition_by:
+        writer = df.hint("rebalance", partition_by).write.mode(mode)
+        writer = writer.option("ignoreNullFields", "false").option("compression", compression)
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
+    writer.json(path)
+
+
+def write_segments_by_year(df: DataFrame, path: str, year: str = "year") -> None:
+    """Gzip JSON lines, one folder per year; the years in ``df`` replace theirs, others stay."""
+    write_segments_jsonl(df, path, "overwrite", "gzip", partition_by=year)
+
+
+def read_segments_years(
+    spark: SparkSession, path: str, lo: int, hi: int, schema: T.StructType = SEGMENTS, year: str = "year"
+) -> DataFrame:
+    """Rows of the years ``lo`` to ``hi`` of a table written by year; other folders are not read."""
+    full = T.StructType([*schema.fields, T.StructField(year, T.IntegerType())])
+    return read_segments_jsonl(spark, path, full).filter(F.col(year).between(lo, hi))
 
 
 def write_segments_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -86,6 +109,9 @@ def export_subset(
 ) -> None:
     """Two data sets: ``data`` (gzip JSON lines) and ``html`` (pages of these segments).
 
+    Rows with a ``year`` are stored in one folder per year; an overwrite then replaces
+    only the years written.
+
     The ids of the pages are read back from the data, so the source is read once; only an
     appended output, which holds older rows too, takes them from ``segments`` again.
 
@@ -93,7 +119,8 @@ def export_subset(
     """
     if "page_kind" in pages.columns:
         pages = pages.filter(F.col("page_kind") == "broadcast")
-    write_segments_jsonl(segments, f"{path}/data", mode, compression="gzip")
+    by_year = "year" if "year" in segments.columns else None
+    write_segments_jsonl(segments, f"{path}/data", mode, compression="gzip", partition_by=by_year)
     if mode != "append":
         segments = read_segments_jsonl(segments.sparkSession, f"{path}/data", segments.schema)
     wanted = require_key(segments).select(F.col("broadcast_order").alias("page_id"))

@@ -119,3 +119,25 @@ def test_write_modes(spark, segments, tmp_path):
     assert read_segments_jsonl(spark, path).count() == len(ROWS) + 2
     write_segments_jsonl(segments, path, "overwrite")
     assert read_segments_jsonl(spark, path).count() == len(ROWS)
+
+
+def test_years_are_folders_and_a_rewrite_keeps_other_years(spark, tmp_path):
+    import glob
+
+    from archive_spark.sources import read_segments_years, write_segments_by_year
+
+    df = spark.createDataFrame(
+        [(f"t{i}", 1995 + i % 4, i) for i in range(40)] + [("none", None, 99)], "title string, year int, k int"
+    )
+    path = str(tmp_path / "years")
+    write_segments_by_year(df, path)
+    before = {y: sorted(glob.glob(f"{path}/year={y}/*")) for y in (1995, 1996, 1997, 1998)}
+    write_segments_by_year(df.filter("year = 1997 AND k < 10"), path)
+    after = {y: sorted(glob.glob(f"{path}/year={y}/*")) for y in (1995, 1996, 1997, 1998)}
+    assert all(before[y] == after[y] for y in (1995, 1996, 1998)) and before[1997] != after[1997]
+    schema = df.drop("year").schema
+    got = read_segments_years(spark, path, 1996, 1997, schema)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "year" in plan.split("PartitionFilters")[1][:200]
+    counts = {r.year: r.n for r in got.groupBy("year").agg(F.count("*").alias("n")).collect()}
+    assert counts == {1996: 10, 1997: 2}
