@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import date_from_url, parse_flexible_date, year_from_text
+from ..session import materialize
 
 
 def resolve_bounds(
@@ -63,15 +64,47 @@ def year_range(df: DataFrame, lo: int, hi: int, text: str = "date") -> DataFrame
     return df.withColumn("year", year_from_text(text)).filter(F.col("year").between(lo, hi))
 
 
-def limit_items(df: DataFrame, n: int, order_by: tuple[str, ...] = ("broadcast_order",)) -> DataFrame:
+# Up to this many rows, the first n are taken as a top k per task and merged; above,
+# by selection over a range-partitioned sort.
+TOP_K_ROWS = 10_000
+ROWS_PER_RANGE = 1_000_000
+
+
+def limit_items(
+    df: DataFrame, n: int, order_by: tuple[str, ...] = ("broadcast_order",), top_k_rows: int = TOP_K_ROWS
+) -> DataFrame:
     """The first ``n`` rows in a fixed order; 0 is no limit.
 
-    Ties are broken by the other columns, so that a run can be repeated.
+    Ties are broken by the other columns, so that a run can be repeated; rows equal in
+    all columns are interchangeable. Up to ``top_k_rows`` each task keeps its first ``n``
+    and one task merges them. Above, no task sees more than one range: rows are sorted
+    into ranges (bounds from a sample), the ranges are counted, every range before the
+    one holding the n-th row is kept whole, and only that range is ranked. The rows come
+    in no particular order then.
     """
     if n <= 0:
         return df
     others = [F.col(f"`{c}`") for c in df.columns if c not in order_by]
-    return df.orderBy(*order_by, *others).limit(n)
+    order = [F.col(f"`{c}`") for c in order_by] + others
+    if n <= top_k_rows:
+        return df.orderBy(*order).limit(n)
+    parts = max(1, -(-df.count() // ROWS_PER_RANGE))
+    ranged = materialize(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = sorted((r["_range"], r["n"]) for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect())
+    whole, before, edge, need = [], 0, None, 0
+    for part, size in counts:
+        if before + size <= n:
+            whole.append(part)
+            before += size
+        else:
+            edge, need = part, n - before
+            break
+    kept = ranged.filter(F.col("_range").isin(whole))
+    if edge is not None and need > 0:
+        ranks = Window.partitionBy("_range").orderBy(*order)
+        cut = ranged.filter(F.col("_range") == edge).withColumn("_rank", F.row_number().over(ranks))
+        kept = kept.unionByName(cut.filter(F.col("_rank") <= need).drop("_rank"))
+    return kept.drop("_range")
 
 
 def require_id(df: DataFrame, column: str = "page_id") -> DataFrame:

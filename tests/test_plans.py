@@ -152,3 +152,21 @@ def test_id_gaps(spark, ids):
     if sum(n for _, _, n in got) < 10_000:
         missing = set(range(ordered[0], ordered[-1] + 1)) - set(ids)
         assert sorted(r[0] for r in id_gaps(pages).collect()) == sorted(missing)
+
+
+def test_large_limit_is_selected_without_one_task(spark):
+    from archive_spark.operators import filters
+
+    rows = [(i % 37, f"t{(i * 7) % 101}", i % 5) for i in range(3000)] + [(3, "t3", 1)] * 5 + [(None, None, None)] * 4
+    df = spark.createDataFrame(rows, "broadcast_order int, title string, x int").repartition(7)
+    key = lambda r: tuple((v is not None, v) for v in r)
+    for n in (1, 1500, 3004, 5000):
+        filters.ROWS_PER_RANGE = 400
+        got = filters.limit_items(df, n, top_k_rows=0)
+        if n == 1500:
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(rows, key=key)[:n]
+        small = filters.limit_items(df, n)
+        assert sorted(map(tuple, small.collect()), key=key) == sorted(rows, key=key)[:n]
+    filters.ROWS_PER_RANGE = 1_000_000
