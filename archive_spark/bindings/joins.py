@@ -14,6 +14,8 @@ from ..operators.audit import (
 )
 from ..operators.dedup import latest
 from ..plans.incremental import upsert_segments
+from ..session import scratch_path
+from ..sources.snapshots import merge_snapshot, read_snapshot
 from .registry import query, table
 
 
@@ -148,18 +150,7 @@ def _(spark, folder):
     return jn.all_segments(evening, pages.filter("page_id % 2 = 0"))
 
 
-@query(
-    "upsert_segments",
-    """
-    SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
-           CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS state
-    FROM orders
-    UNION ALL
-    SELECT NULL, CAST(year(o_orderdate) AS INTEGER), state
-    FROM orders, (VALUES ('base'), ('delta')) AS s(state) WHERE o_orderkey % 7 = 0
-    """,
-)
-def _(spark, folder):
+def _upsert_inputs(spark, folder):
     orders = table(spark, folder, "orders").select(
         "o_orderkey", F.year("o_orderdate").alias("year")
     )
@@ -171,9 +162,35 @@ def _(spark, folder):
     stale = delta.withColumn("state", F.lit("stale"))
     base = base.unionByName(keyless.withColumn("state", F.lit("base")))
     changes = delta.unionByName(stale).unionByName(keyless.withColumn("state", F.lit("delta")))
+    return base, changes
+
+
+_UPSERT_SQL = """
+    SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+           CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS state
+    FROM orders
+    UNION ALL
+    SELECT NULL, CAST(year(o_orderdate) AS INTEGER), state
+    FROM orders, (VALUES ('base'), ('delta')) AS s(state) WHERE o_orderkey % 7 = 0
+    """
+
+
+@query("upsert_segments", _UPSERT_SQL)
+def _(spark, folder):
+    base, changes = _upsert_inputs(spark, folder)
     return upsert_segments(base, changes, "o_orderkey", [F.col("state")])
 
 
+@query("merge_snapshot", _UPSERT_SQL)
+def _(spark, folder):
+    """The same merge on a stored table: only buckets with changed keys are written again."""
+    base, changes = _upsert_inputs(spark, folder)
+    path = scratch_path(spark, "snapshot")
+    merge_snapshot(base, path, "o_orderkey", [F.col("state")])
+    merge_snapshot(changes, path, "o_orderkey", [F.col("state")])
+    return read_snapshot(spark, path, base.schema)
+
+
 @query(
     "missing_durations",
     """

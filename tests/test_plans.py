@@ -170,3 +170,29 @@ def test_large_limit_is_selected_without_one_task(spark):
         small = filters.limit_items(df, n)
         assert sorted(map(tuple, small.collect()), key=key) == sorted(rows, key=key)[:n]
     filters.ROWS_PER_RANGE = 1_000_000
+
+
+def test_snapshot_merge_rewrites_touched_buckets_only(spark, tmp_path):
+    import glob
+
+    from archive_spark.plans.incremental import upsert_segments
+    from archive_spark.sources.snapshots import merge_snapshot, published, read_snapshot
+
+    path = str(tmp_path / "snap")
+    base = spark.createDataFrame([(i, "old") for i in range(200)] + [(None, "b")], "k long, v string")
+    changes = spark.createDataFrame([(5, "new"), (5, "alt"), (None, "c")], "k long, v string")
+    merge_snapshot(base, path, "k", [F.col("v")], buckets=16)
+    files = {b: sorted(glob.glob(f"{path}/v={v}/bucket={b}/*")) for b, v in published(spark, path).items()}
+    merge_snapshot(changes, path, "k", [F.col("v")], buckets=16)
+    now = published(spark, path)
+    assert sum(1 for b in now if now[b] == 1) <= 2  # the key 5 and the keyless bucket
+    for b, v in now.items():
+        if v == 0:
+            assert sorted(glob.glob(f"{path}/v=0/bucket={b}/*")) == files[b]
+    want = upsert_segments(base, changes, "k", [F.col("v")])
+    assert sorted(map(tuple, read_snapshot(spark, path, base.schema).collect()), key=repr) == sorted(
+        map(tuple, want.collect()), key=repr
+    )
+    # a merge killed before its manifest leaves the published table as it was
+    spark.createDataFrame([(7, "half")], "k long, v string").write.parquet(f"{path}/v=2/bucket=3")
+    assert published(spark, path) == now
