@@ -348,7 +348,9 @@ def parse_pages(pages: DataFrame, profile: Profile, keep: list[str] | None = Non
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = PageParser(profile)
         for batch in batches:
-            rows = [read(html or "") for html in batch["html"].to_pylist()]
+            # bytes, so that text that is not valid UTF-8 is replaced, never raises
+            bodies = batch["html"].cast(pa.binary()).to_pylist()
+            rows = [read((html or b"").decode("utf-8", "replace")) for html in bodies]
             arrays = [batch[c] for c in keep]
             arrays += [
                 pa.array([row[name] for row in rows], dtype) for name, dtype in arrow_types.items()

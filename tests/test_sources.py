@@ -141,3 +141,23 @@ def test_years_are_folders_and_a_rewrite_keeps_other_years(spark, tmp_path):
     assert "PartitionFilters" in plan and "year" in plan.split("PartitionFilters")[1][:200]
     counts = {r.year: r.n for r in got.groupBy("year").agg(F.count("*").alias("n")).collect()}
     assert counts == {1996: 10, 1997: 2}
+
+
+def test_pages_in_other_charsets_are_read(spark, tmp_path):
+    from archive_spark.operators.parse import ARCHIVE_PROFILES, parse_pages
+
+    pages = {
+        "1": gzip.compress('<meta charset="iso-8859-1"><p>café</p>'.encode("latin-1")),
+        "2": "﻿<p>naïve</p>".encode("utf-16-le"),
+        "3": b"<p>bad \xff\xfe bytes \xe9</p>",
+        "4": gzip.compress(b"\xef\xbb\xbf<p>plain</p>"),
+        "5": b"",
+    }
+    for name, body in pages.items():
+        (tmp_path / f"{name}.html.gz").write_bytes(body)
+    got = {r["page_id"]: r["html"] for r in read_raw_pages(spark, str(tmp_path), "broadcast", "https://h/").collect()}
+    assert got[1].endswith("<p>café</p>") and got[2] == "<p>naïve</p>" and got[4] == "<p>plain</p>"
+    assert 5 not in got  # Spark lists no empty file
+    assert got[3] == "<p>bad �� bytes �</p>"
+    parsed = parse_pages(read_raw_pages(spark, str(tmp_path), "broadcast", "https://h/"), ARCHIVE_PROFILES["broadcast"])
+    assert parsed.count() == 4
