@@ -15,11 +15,35 @@ from ..operators.joins import keep_reachable
 from ..schema import SEGMENTS
 
 
+# Keys of a record that its schema does not name are kept here, as one VARIANT object.
+UNKNOWN = "_unknown"
+
+
 def read_segments_jsonl(
-    spark: SparkSession, path: str, schema: T.StructType = SEGMENTS
+    spark: SparkSession, path: str, schema: T.StructType = SEGMENTS, keep_unknown: bool = False
 ) -> DataFrame:
-    """One object per line; blank lines are skipped, a broken line fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """One object per line; blank lines are skipped, a broken line fails the job.
+
+    With ``keep_unknown`` (or a column ``_unknown`` in ``schema``) keys that ``schema`` does
+    not name are kept, values as they are, in the VARIANT column ``_unknown`` (null if
+    there are none), which ``write_segments_jsonl`` writes back as keys of the line.
+    Columns of ``schema`` that are folders of the path (such as ``year``) come from there.
+    """
+    keep_unknown = keep_unknown or UNKNOWN in schema.names
+    if not keep_unknown:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    fields = [f for f in schema.fields if f.name != UNKNOWN]
+    lines = spark.read.text(path)
+    folders = [c for c in lines.columns if c != "value"]
+    in_line = T.StructType([f for f in fields if f.name not in folders])
+    lines = lines.filter(F.trim("value") != "")
+    known = F.from_json("value", in_line, {"mode": "FAILFAST"})
+    names = F.array(*[F.lit(f.name) for f in fields])
+    rest = F.map_filter(F.parse_json("value").cast("map<string,variant>"), lambda k, v: ~F.array_contains(names, k))
+    unknown = F.when(F.size(rest) > 0, F.parse_json(F.to_json(rest)))
+    parsed = lines.select(known.alias("_known"), unknown.alias(UNKNOWN), *folders)
+    columns = [F.col(f"_known.`{f.name}`") if f.name not in folders else F.col(f"`{f.name}`") for f in fields]
+    return parsed.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, fields)], UNKNOWN)
 
 
 def write_segments_jsonl(
@@ -34,14 +58,29 @@ def write_segments_jsonl(
     With ``partition_by`` (such as ``year``) there is one folder per value, and an
     overwrite replaces only the folders of the values present in ``df``; the others stay.
     Rows are first brought together by that value, large values split over tasks (AQE),
-    so each folder gets few files.
+    so each folder gets few files. Keys kept in ``_unknown`` are written back into each
+    line after the named ones.
     """
-    writer = df.write.mode(mode).option("ignoreNullFields", "false").option("compression", compression)
     if partition_by:
-        writer = df.hint("rebalance", partition_by).write.mode(mode)
-        writer = writer.option("ignoreNullFields", "false").option("compression", compression)
+        df = df.hint("rebalance", partition_by)
+    lines = UNKNOWN in df.columns
+    if lines:
+        named = [F.col(f"`{c}`") for c in df.columns if c not in (UNKNOWN, partition_by)]
+        line = F.to_json(F.struct(*named), {"ignoreNullFields": "false"})
+        extra = F.to_json(F.col(UNKNOWN))
+        spliced = F.concat(F.expr("substring(_line, 1, length(_line) - 1)"), F.lit(","), F.expr("substring(_extra, 2)"))
+        keep = [partition_by] if partition_by else []
+        df = df.select(line.alias("_line"), extra.alias("_extra"), *keep).select(
+            F.when(F.col("_extra").isNull() | (F.col("_extra") == "{}"), F.col("_line")).otherwise(spliced).alias("value"),
+            *keep,
+        )
+    writer = df.write.mode(mode).option("compression", compression)
+    if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
-    writer.json(path)
+    if lines:
+        writer.text(path)
+    else:
+        writer.option("ignoreNullFields", "false").json(path)
 
 
 def write_segments_by_year(df: DataFrame, path: str, year: str = "year") -> None:

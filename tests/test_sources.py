@@ -5,6 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from archive_spark.operators.aggregates import archive_size_mb, file_match_counts, reconcile
 from archive_spark.operators.filters import year_range
@@ -161,3 +162,26 @@ def test_pages_in_other_charsets_are_read(spark, tmp_path):
     assert got[3] == "<p>bad �� bytes �</p>"
     parsed = parse_pages(read_raw_pages(spark, str(tmp_path), "broadcast", "https://h/"), ARCHIVE_PROFILES["broadcast"])
     assert parsed.count() == 4
+
+
+def test_unknown_keys_survive_a_round_trip(spark, tmp_path):
+    src = tmp_path / "in.jsonl"
+    src.write_text(
+        '{"broadcast_order": 1, "date": "Friday, Jan 3, 2020", "zz": {"a": [1, 2.5, "x"]}, "n": 5, "s": null}\n'
+        "\n"
+        '{"broadcast_order": 2, "date": "in 2021"}\n'
+    )
+    got = read_segments_jsonl(spark, str(src), keep_unknown=True)
+    assert got.columns == SEGMENTS.names + ["_unknown"]
+    out = str(tmp_path / "out")
+    write_segments_jsonl(got.withColumn("year", F.lit(2020)), out, "overwrite", partition_by="year")
+    lines = [json.loads(x) for f in (tmp_path / "out").glob("year=2020/part*") for x in f.open() if x.strip()]
+    lines.sort(key=lambda d: d["broadcast_order"])
+    assert lines[0]["zz"] == {"a": [1, 2.5, "x"]} and lines[0]["n"] == 5 and "s" in lines[0]
+    assert set(lines[1]) == set(SEGMENTS.names)
+    again = read_segments_jsonl(spark, out, T.StructType(SEGMENTS.fields + [T.StructField("year", T.IntegerType())]), True)
+    assert {r.broadcast_order: r.year for r in again.collect()} == {1: 2020, 2: 2020}
+    broken = tmp_path / "broken.jsonl"
+    broken.write_text('{"broadcast_order": 1}\n{"broadcast_order": \n')
+    with pytest.raises(Exception):
+        read_segments_jsonl(spark, str(broken), keep_unknown=True).collect()
