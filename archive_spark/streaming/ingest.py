@@ -1,7 +1,7 @@
 """Segments from pages as they land, with the last visit of every page kept as state.
 
-Each micro-batch is scanned once: it is written by kind to a folder of its own, and each
-kind's parser reads only its part. The parsed pages are merged into the state of their
+Each micro-batch is scanned once: it is kept (``persist``) while each kind's parser reads
+its part. The parsed pages are merged into the state of their
 kind: the last visit per URL key, stored in buckets of the key. A batch rewrites only the
 buckets it touches, into a new version named by its batch id, and publishes them by
 writing its manifest last. Readers take, per bucket, the newest published version. A
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import url_key
 from ..operators.parse import ARCHIVE_PROFILES
 from ..plans.crawl import last_visits, parse_kind, segments_from
 from ..schema import RAW_PAGES
@@ -65,37 +66,48 @@ def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(*paths)
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def _written_buckets(spark: SparkSession, path: str) -> set[int]:
+    """Buckets a partitioned write made under ``path``, from folder names (no data read)."""
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return set()
+    names = [st.getPath().getName() for st in fs.listStatus(folder) if st.isDirectory()]
+    return {int(n.split("=", 1)[1]) for n in names if n.startswith("bucket=")}
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str, buckets: int = BUCKETS) -> None:
-    """Merge one batch of raw pages into the state of every kind and publish it."""
-    landed = f"{out}/_landed/batch_id={batch_id}"
-    batch.write.mode("overwrite").partitionBy("page_kind").parquet(landed)
-    raw = spark.read.schema(RAW_PAGES).parquet(landed)
+    """Merge one batch of raw pages into the state of every kind and publish it.
+
+    The batch is kept (``persist``) while its kinds are parsed from it, so the source is
+    scanned once; a lost executor recomputes its part from the batch's fixed files.
+    """
+    batch = batch.persist()
     before = versions(spark, out, below=batch_id)
     published = []
     for kind in ARCHIVE_PROFILES:
         schema = _parsed_schema(spark, kind)
-        delta = last_visits(parse_kind(raw.filter(F.col("page_kind") == kind), kind))
-        delta = delta.withColumn("bucket", bucket_of(buckets=buckets))
-        delta.write.mode("overwrite").parquet(f"{out}/_delta/batch_id={batch_id}/{kind}")
-        delta = spark.read.parquet(f"{out}/_delta/batch_id={batch_id}/{kind}")
-        touched = {r.bucket for r in delta.select("bucket").distinct().collect()}
+        raw = batch.filter(F.col("page_kind") == kind)
+        # buckets of the batch's pages from their URLs alone: at most ``buckets`` values
+        keys = raw.select(url_key("url").alias("url_key")).select(bucket_of(buckets=buckets).alias("b"))
+        touched = {r.b for r in keys.distinct().collect()}
         if not touched:
             continue
-        old = _read(spark, _paths(out, kind, before, touched), schema)
-        merged = last_visits(old.unionByName(delta.select(*schema.names)))
-        merged = merged.withColumn("bucket", bucket_of(buckets=buckets))
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/state/{kind}/v={batch_id}")
-        published += [(kind, b, batch_id) for b in sorted(touched)]
+        parsed = parse_kind(raw, kind)
+        earlier = _paths(out, kind, before, touched)
+        if earlier:
+            parsed = _read(spark, earlier, schema).unionByName(parsed)
+        merged = last_visits(parsed).withColumn("bucket", bucket_of(buckets=buckets))
+        # a bucket's rows are brought together (AQE splits large ones), so it gets few files
+        merged = merged.hint("rebalance", "bucket")
+        target = f"{out}/state/{kind}/v={batch_id}"
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(target)
+        # a touched bucket whose pages give no parsed row, and had no state, has no folder
+        published += [(kind, b, batch_id) for b in sorted(touched & _written_buckets(spark, target))]
     manifest = spark.createDataFrame(published, "kind string, bucket int, version long")
     manifest.write.mode("overwrite").parquet(f"{out}/{MANIFEST}/batch_id={batch_id}")
-    _drop(spark, landed)
-    _drop(spark, f"{out}/_delta/batch_id={batch_id}")
+    batch.unpersist()
 
 
 def stream_segments(
@@ -162,7 +174,7 @@ def compact(spark: SparkSession, out: str, into: str, buckets: int = BUCKETS) ->
     published = []
     for kind in ARCHIVE_PROFILES:
         pages = parsed_pages(spark, out, kind).withColumn("bucket", bucket_of(buckets=buckets))
-        pages.write.partitionBy("bucket").parquet(f"{into}/state/{kind}/v=-1")
+        pages.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{into}/state/{kind}/v=-1")
         stored = spark.read.parquet(f"{into}/state/{kind}/v=-1").select("bucket").distinct().collect()
         published += [(kind, r.bucket, -1) for r in stored]
     manifest = spark.createDataFrame(published, "kind string, bucket int, version long")
