@@ -1,13 +1,17 @@
 """What the page parser takes from sound and from broken HTML."""
 
+import pyarrow as pa
 import pytest
 
+from archive_spark.operators import parse
 from archive_spark.operators.parse import (
     ARCHIVE_PROFILES,
     GENERIC_PROFILE,
     El,
+    PageParser,
     Profile,
     Rule,
+    _parts,
     parse_page,
     parse_pages,
 )
@@ -75,3 +79,30 @@ def test_parse_pages_on_spark(spark):
     pages = spark.createDataFrame([(1, "<h1>a</h1>"), (2, None)], "page_id long, html string")
     rows = parse_pages(pages, GENERIC_PROFILE).orderBy("page_id").collect()
     assert [(r["page_id"], r["h1"], r["nav_hrefs"]) for r in rows] == [(1, "a", []), (2, None, [])]
+
+
+def test_a_place_met_before_is_not_worked_out_again():
+    read = PageParser(ARCHIVE_PROFILES["program"])
+    page = '<ul><li class="listing"><p class="id"><em>{0}</em></p><a href="/b/{0}">x</a></ul>'
+    read.read([page.format(0)])
+    places = read.places
+    found, begins, _ = read.read([page.format(i) for i in range(50)])
+    assert read.places == places
+    assert found[4] == [f"/b/{i}" for i in range(50)] and begins[4] == list(range(51))
+
+
+def test_what_is_kept_between_pages_is_bounded(monkeypatch):
+    monkeypatch.setattr(parse, "KEPT", 20)
+    read = PageParser(ARCHIVE_PROFILES["broadcast"])
+    pages = [f'<dl class="video-meta"><x{i}><dt class="c{i}">a{i}<dd>b</x{i}></dl>' for i in range(200)]
+    _, begins, entries = read.read(pages)
+    assert max(read.places, len(read.tags), len(read.shapes)) <= 40
+    assert begins[-1] == list(range(0, 401, 2)) and entries[-1][398:] == [["a199"], ["b"]]
+
+
+def test_a_batch_is_handed_back_in_parts():
+    html = ["x" * 300_000] * 7 + [None, "y" * 3_000_000] + ["z"] * 1200
+    parts = [*_parts(pa.record_batch({"html": html}), "html")]
+    assert [v for p in parts for v in p["html"].to_pylist()] == html
+    assert all(p.num_rows == 1 or (p.num_rows <= 500 and p["html"].nbytes < 1.1 * (1 << 20)) for p in parts)
+    assert len(parts) < 10
