@@ -29,7 +29,9 @@ def join_to_one(
     hash, and only the rows of ``right`` with a hot key are repeated. The salt comes from the row
     and the number of the sending task, so rows that stand together part as well, and a task
     that runs again sends its rows to the same places. ``left`` is read twice more, both
-    times for its key alone; store it before, if it is costly to compute.
+    times for its key alone; store it before, if it is costly to compute. Neither side is
+    broadcast: the planner takes parsed or exploded rows for much smaller than they are, and
+    would gather them in the driver.
     """
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = left.agg(F.count("*").alias("n")).scalar()
@@ -55,7 +57,7 @@ def join_to_one(
         .withColumn("_salt", F.explode(copies))
         .drop("_salts")
     )
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    return salted.join(repeated.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def keep_reachable(

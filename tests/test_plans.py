@@ -196,3 +196,14 @@ def test_snapshot_merge_rewrites_touched_buckets_only(spark, tmp_path):
     # a merge killed before its manifest leaves the published table as it was
     spark.createDataFrame([(7, "half")], "k long, v string").write.parquet(f"{path}/v=2/bucket=3")
     assert published(spark, path) == now
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_join_to_one_broadcasts_hot_keys_only(spark, how):
+    """Exploded rows look small to the planner; gathered in the driver they are not."""
+    left = spark.range(2000).select((F.col("id") % 500).alias("k"), "id")
+    right = spark.range(100).select(F.explode(F.sequence("id", "id")).alias("k"))
+    joined = join_to_one(left, right.distinct(), "k", how)
+    text = plan(joined)
+    assert text.count("BroadcastHashJoin") == 2 and text.count("SortMergeJoin") == 1
+    assert joined.count() == {"left": 2000, "inner": 400, "left_semi": 400, "left_anti": 1600}[how]
