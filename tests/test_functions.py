@@ -9,6 +9,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
+from archive_spark.functions.urls import _is_plain
 from archive_spark import functions as fn
 from archive_spark.operators import filters
 
@@ -251,3 +252,12 @@ def test_month_filter(spark):
     assert kept("19") == set()
     assert kept("al|2018") == {"/m/2018-19", "all"}
     assert len(kept(None)) == 3
+
+
+def test_plain_paths_skip_the_steps_of_others(spark):
+    hrefs = ["/a/b", "/a:b", "/", "//h/x", "/./a", "/a/..", "/.x", "/a?b", "/a#b", "a", "", None]
+    plain = [h in ("/a/b", "/a:b", "/") for h in hrefs]
+    assert apply(spark, _is_plain, hrefs) == plain
+    assert apply(spark, lambda h: fn.resolve_url(F.lit("http://h.org/p/q"), h), hrefs[:3]) == [
+        "http://h.org/a/b", "http://h.org/a:b", "http://h.org/",
+    ]
