@@ -1,10 +1,9 @@
 """Segments from pages as they land, with the last visit of every page kept as state.
 
-Each micro-batch is scanned once: it is kept (``persist``) while each kind's parser reads
-its part. The parsed pages are merged into the state of their
-kind: the last visit per URL key, stored in buckets of the key. A batch rewrites only the
-buckets it touches, into a new version named by its batch id, and publishes them by
-writing its manifest last. Readers take, per bucket, the newest published version. A
+Each micro-batch is scanned once: one pass parses the pages of all kinds, and one shuffle
+and write merges them into the state of their kind: the last visit per URL key, stored in
+buckets of the key. A batch rewrites only the buckets it touches, into a new version named
+by its batch id, and publishes them by writing its manifest last. Readers take, per bucket, the newest published version. A
 batch run again after a lost executor or a restart rebuilds its versions from those
 published before it, so rows are neither lost nor doubled, and no file is rewritten
 while it is read.
@@ -17,18 +16,21 @@ does not depend on the order of arrival.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import url_key
 from ..operators.parse import ARCHIVE_PROFILES
-from ..plans.crawl import last_visits, parse_kind, segments_from
+from ..plans.crawl import last_visits_by_kind, parse_every_kind, parse_kind, segments_from
 from ..schema import RAW_PAGES
+from ..session import materialize
 
 BUCKETS = 64
+SPLITS_PER_CORE = 4
 MANIFEST = "state/_manifest"
 
 
@@ -52,12 +54,21 @@ def versions(spark: SparkSession, out: str, below: int | None = None) -> dict[tu
     return {(r.kind, r.bucket): r.v for r in newest}
 
 
-def _paths(out: str, kind: str, found: dict, buckets=None) -> list[str]:
-    return [
-        f"{out}/state/{k}/v={v}/bucket={b}"
-        for (k, b), v in sorted(found.items())
-        if k == kind and (buckets is None or b in buckets)
-    ]
+def _folder(spark: SparkSession, path: str):
+    """A folder and its file system."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _paths(spark: SparkSession, out: str, kind: str, found: dict, buckets=None) -> list[str]:
+    """Folders of the published buckets; versions written kind by kind have one folder a kind."""
+    wanted = [(b, v) for (k, b), v in sorted(found.items()) if k == kind and (buckets is None or b in buckets)]
+    base = {}
+    for v in {v for _, v in wanted}:
+        folder, fs = _folder(spark, f"{out}/state/v={v}")
+        base[v] = f"{out}/state/v={v}/page_kind={kind}" if fs.exists(folder) else f"{out}/state/{kind}/v={v}"
+    return [f"{base[v]}/bucket={b}" for b, v in wanted]
 
 
 def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
@@ -68,9 +79,7 @@ def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFr
 
 def _written_buckets(spark: SparkSession, path: str) -> set[int]:
     """Buckets a partitioned write made under ``path``, from folder names (no data read)."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder, fs = _folder(spark, path)
     if not fs.exists(folder):
         return set()
     names = [st.getPath().getName() for st in fs.listStatus(folder) if st.isDirectory()]
@@ -80,34 +89,56 @@ def _written_buckets(spark: SparkSession, path: str) -> set[int]:
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str, buckets: int = BUCKETS) -> None:
     """Merge one batch of raw pages into the state of every kind and publish it.
 
-    The batch is kept (``persist``) while its kinds are parsed from it, so the source is
-    scanned once; a lost executor recomputes its part from the batch's fixed files.
+    The batch is scanned and parsed once. If there is state already, its parsed rows are
+    stored first: they name the buckets to read, and are then merged with them.
     """
-    batch = batch.persist()
     before = versions(spark, out, below=batch_id)
-    published = []
-    for kind in ARCHIVE_PROFILES:
-        schema = _parsed_schema(spark, kind)
-        raw = batch.filter(F.col("page_kind") == kind)
-        # buckets of the batch's pages from their URLs alone: at most ``buckets`` values
-        keys = raw.select(url_key("url").alias("url_key")).select(bucket_of(buckets=buckets).alias("b"))
-        touched = {r.b for r in keys.distinct().collect()}
-        if not touched:
-            continue
-        parsed = parse_kind(raw, kind)
-        earlier = _paths(out, kind, before, touched)
-        if earlier:
-            parsed = _read(spark, earlier, schema).unionByName(parsed)
-        merged = last_visits(parsed).withColumn("bucket", bucket_of(buckets=buckets))
-        # a bucket's rows are brought together (AQE splits large ones), so it gets few files
-        merged = merged.hint("rebalance", "bucket")
-        target = f"{out}/state/{kind}/v={batch_id}"
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(target)
-        # a touched bucket whose pages give no parsed row, and had no state, has no folder
-        published += [(kind, b, batch_id) for b in sorted(touched & _written_buckets(spark, target))]
-    manifest = spark.createDataFrame(published, "kind string, bucket int, version long")
-    manifest.write.mode("overwrite").parquet(f"{out}/{MANIFEST}/batch_id={batch_id}")
-    batch.unpersist()
+    parsed = parse_every_kind(batch)
+    if before:
+        parsed = materialize(parsed, "batch")
+        # at most kinds x ``buckets`` values
+        touched = parsed.select("page_kind", bucket_of(buckets=buckets).alias("b")).distinct().collect()
+        for kind in sorted({r.page_kind for r in touched}):
+            paths = _paths(spark, out, kind, before, {r.b for r in touched if r.page_kind == kind})
+            earlier = _read(spark, paths, _parsed_schema(spark, kind)).withColumn("page_kind", F.lit(kind))
+            parsed = parsed.unionByName(earlier, allowMissingColumns=True)
+    merged = last_visits_by_kind(parsed).withColumn("bucket", bucket_of(buckets=buckets))
+    # a bucket's rows are brought together (AQE splits large ones), so it gets few files
+    _write_state(merged, f"{out}/state/v={batch_id}")
+    _publish(spark, out, batch_id)
+
+
+def _write_state(pages: DataFrame, target: str) -> None:
+    spread = pages.hint("rebalance", "page_kind", "bucket")
+    spread.write.mode("overwrite").partitionBy("page_kind", "bucket").parquet(target)
+
+
+def _publish(spark: SparkSession, out: str, version: int) -> None:
+    """Publish all buckets that were written for a version: at most kinds x buckets rows."""
+    target = f"{out}/state/v={version}"
+    published = [
+        (kind, b, version)
+        for kind in ARCHIVE_PROFILES
+        for b in sorted(_written_buckets(spark, f"{target}/page_kind={kind}"))
+    ]
+    manifest = spark.createDataFrame(published, "kind string, bucket int, version long").coalesce(1)
+    manifest.write.mode("overwrite").parquet(f"{out}/{MANIFEST}/batch_id={version}")
+
+
+def _finer_splits(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` that cuts files into several splits a core.
+
+    Kinds differ much in work per byte, so with one split a core the batch waits for a few
+    tasks. A stream plans its scans by the settings of the session that reads the source.
+    """
+    setting = "spark.sql.files.minPartitionNum"
+    finer = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            finer.conf.set(name, value)
+    if finer.conf.get(setting, None) is None:
+        finer.conf.set(setting, SPLITS_PER_CORE * spark.sparkContext.defaultParallelism)
+    return finer
 
 
 def stream_segments(
@@ -123,13 +154,14 @@ def stream_segments(
     """Parse pages that are new in ``source`` and merge them into the state in ``out``.
 
     Runs until all present files are read (``availableNow``). Each batch is scanned once.
+    The stream runs in a session of its own beside ``spark``, with the same settings.
     """
-    reader = spark.readStream.format(file_format).schema(schema)
+    reader = _finer_splits(spark).readStream.format(file_format).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(spark, batch.select(*RAW_PAGES.names), batch_id, out, buckets)
+        merge_batch(batch.sparkSession, batch.select(*RAW_PAGES.names), batch_id, out, buckets)
 
     return (
         reader.load(source)
@@ -142,7 +174,7 @@ def stream_segments(
 
 def parsed_pages(spark: SparkSession, out: str, kind: str, buckets=None) -> DataFrame:
     """Last visits of the pages of ``kind`` parsed so far, of the given buckets or all."""
-    return _read(spark, _paths(out, kind, versions(spark, out), buckets), _parsed_schema(spark, kind))
+    return _read(spark, _paths(spark, out, kind, versions(spark, out), buckets), _parsed_schema(spark, kind))
 
 
 def read_current(spark: SparkSession, out: str, buckets: int = BUCKETS, **options) -> DataFrame:
@@ -156,10 +188,10 @@ def read_current(spark: SparkSession, out: str, buckets: int = BUCKETS, **option
     def visits(kind: str, links: DataFrame | None) -> tuple[DataFrame, bool]:
         schema = _parsed_schema(spark, kind)
         if links is None:
-            return _read(spark, _paths(out, kind, found), schema), True
+            return _read(spark, _paths(spark, out, kind, found), schema), True
         keys = links.select("url_key").distinct()
         wanted = {r.b for r in keys.select(bucket_of(buckets=buckets).alias("b")).distinct().collect()}
-        pages = _read(spark, _paths(out, kind, found, wanted), schema)
+        pages = _read(spark, _paths(spark, out, kind, found, wanted), schema)
         return pages.join(keys, "url_key", "left_semi"), False
 
     return segments_from(visits, **options)
@@ -171,11 +203,9 @@ def compact(spark: SparkSession, out: str, into: str, buckets: int = BUCKETS) ->
     Run it while no stream writes to ``out``. Let the stream go on into the new folder with
     the same checkpoint: its next batches have higher numbers than those gathered.
     """
-    published = []
-    for kind in ARCHIVE_PROFILES:
-        pages = parsed_pages(spark, out, kind).withColumn("bucket", bucket_of(buckets=buckets))
-        pages.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{into}/state/{kind}/v=-1")
-        stored = spark.read.parquet(f"{into}/state/{kind}/v=-1").select("bucket").distinct().collect()
-        published += [(kind, r.bucket, -1) for r in stored]
-    manifest = spark.createDataFrame(published, "kind string, bucket int, version long")
-    manifest.write.parquet(f"{into}/{MANIFEST}/batch_id=-1")
+    every = [
+        parsed_pages(spark, out, kind).withColumn("page_kind", F.lit(kind)) for kind in ARCHIVE_PROFILES
+    ]
+    pages = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), every)
+    _write_state(pages.withColumn("bucket", bucket_of(buckets=buckets)), f"{into}/state/v=-1")
+    _publish(spark, into, -1)

@@ -9,7 +9,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
-from archive_spark.functions.urls import _is_plain
+from archive_spark.functions.urls import _is_plain, _resolve_steps, resolve_all, resolve_url
 from archive_spark import functions as fn
 from archive_spark.operators import filters
 
@@ -261,3 +261,23 @@ def test_plain_paths_skip_the_steps_of_others(spark):
     assert apply(spark, lambda h: fn.resolve_url(F.lit("http://h.org/p/q"), h), hrefs[:3]) == [
         "http://h.org/a/b", "http://h.org/a:b", "http://h.org/",
     ]
+
+
+def test_short_ways_of_resolving_equal_the_steps(spark):
+    bases = [f"https://h.org{p}{q}" for p, q in itertools.product(
+        ["", "/", "/a", "/a/", "/a/b", "/a/b/c", "/a/b/", "//a/b", "/a//b", "/./b", "/a/../b", "/a/.x/b", "/a b/c"], ["", "?q=/x/y", "#f/g/h"])]
+    bases += ["", "x/y/z", None]
+    parts = ["", "a", ".", "..", ".a", "a.b", "b c"]
+    hrefs = ["/".join(p) for n in (1, 2, 3, 4) for p in itertools.product(parts, repeat=n)]
+    hrefs += [h + end for h in ("/a/b", "../a", "../a/b", "..", "../", "/") for end in ("?x", "#x", " ", "\n", "\xa0", "//")]
+    hrefs += [" /a", " ../a", "http://x/y", "../a:b", None]
+    df = spark.createDataFrame([(b, hrefs) for b in bases], "base string, hrefs array<string>").repartition(8)
+    both = df.select("base", resolve_all("base", "hrefs").alias("got"), _resolve_steps(F.col("base"), F.col("hrefs")).alias("want"))
+    for row in both.collect():
+        for got, want in zip(row.got, row.want, strict=True):
+            assert got == want, (row.base, got, want)
+    one = df.select("base", F.explode("hrefs").alias("href")).select(
+        resolve_url("base", "href").alias("got"), F.get(_resolve_steps(F.col("base"), F.array("href")), F.lit(0))["url"].alias("want")
+    )
+    assert one.filter(~F.col("got").eqNullSafe(F.col("want"))).count() == 0
+    assert df.select(resolve_all("base", F.lit(None).cast("array<string>")).alias("x")).filter("x IS NOT NULL").count() == 0

@@ -8,12 +8,22 @@ from archive_spark.operators.aggregates import links_per_page, progress
 from archive_spark.operators.audit import duplicate_segments, missing_durations
 from archive_spark.operators.joins import broken_links
 from archive_spark.operators.links import distinct_requests, month_links, program_link, segment_links
-from archive_spark.plans.crawl import build_segments, last_visits, parse_behind, parse_kind, request_id
+from archive_spark.operators.parse import ARCHIVE_PROFILES
+from archive_spark.plans.crawl import (
+    build_segments,
+    last_visits,
+    last_visits_by_kind,
+    parse_behind,
+    parse_every_kind,
+    parse_kind,
+    request_id,
+)
 from archive_spark.plans.incremental import incremental_segments, upsert_segments
 from archive_spark.schema import RAW_PAGES, SEGMENTS
 from archive_spark.session import scratch_path
 from archive_spark.sources import read_page_archive, save_raw_pages
 from archive_spark.streaming import compact, read_current, stream_segments
+from archive_spark.streaming.ingest import _finer_splits
 
 HOSTS = ["news.example.org"]
 
@@ -201,3 +211,44 @@ def test_many_links_read_only_their_buckets(spark, pages):
     assert sorted(map(tuple, behind.collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
     expected = rows(build_segments(pages, hosts=HOSTS))
     assert rows(build_segments(archive, broadcast_bytes=0, index=index, hosts=HOSTS)) == expected
+
+
+def test_all_kinds_are_parsed_in_one_pass(spark, pages):
+    twice = pages.unionByName(pages.withColumn("html", F.concat("html", F.lit("<p class='broadcast-info'>x</p>"))))
+    parsed = parse_every_kind(twice)
+    assert parsed._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    last = last_visits_by_kind(parsed)
+    for kind in ARCHIVE_PROFILES:
+        alone = parse_kind(twice, kind)
+        for got, want in [(parsed, alone), (last, last_visits(alone))]:
+            got = got.filter(F.col("page_kind") == kind).select(want.columns)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        others = set(parsed.columns) - set(alone.columns) - {"page_kind"}
+        filled = parsed.filter(F.col("page_kind") == kind).filter(F.coalesce(*[F.col(c).cast("string") for c in others]).isNotNull())
+        assert filled.count() == 0
+
+
+def test_state_written_kind_by_kind_is_read_and_merged(spark, pages):
+    from archive_spark.streaming.ingest import BUCKETS, MANIFEST, bucket_of, merge_batch
+
+    path = scratch_path(spark, "old-state")
+    early = F.col("page_kind").isin("broadcast", "program")
+    published = []
+    for kind in ("broadcast", "program"):
+        state = last_visits(parse_kind(pages.filter(early), kind)).withColumn("bucket", bucket_of(buckets=BUCKETS))
+        state.write.partitionBy("bucket").parquet(f"{path}/state/{kind}/v=0")
+        published += [(kind, r.bucket, 0) for r in state.select("bucket").distinct().collect()]
+    manifest = spark.createDataFrame(published, "kind string, bucket int, version long")
+    manifest.write.parquet(f"{path}/{MANIFEST}/batch_id=0")
+    merge_batch(spark, pages.filter(~early), 1, path)
+    merge_batch(spark, pages.filter(early).limit(3), 2, path)
+    assert rows(read_current(spark, path, hosts=HOSTS)) == rows(build_segments(pages, hosts=HOSTS))
+
+
+def test_stream_cuts_files_finer_in_its_own_session(spark):
+    setting = "spark.sql.files.minPartitionNum"
+    finer = _finer_splits(spark)
+    assert int(finer.conf.get(setting)) > spark.sparkContext.defaultParallelism
+    assert finer.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert finer.conf.get("spark.checkpoint.dir") == spark.conf.get("spark.checkpoint.dir")
+    assert spark.conf.get(setting, None) is None
