@@ -54,6 +54,9 @@ DURATION_LABEL = "Duration:"
 SPECIAL_REPORTERS_LABEL = "Reporters:"
 EVENING_REPORTERS_LABEL = "Reporter(s):"
 
+# Of many links without an index, the most that are worth a shuffle of the pages.
+PAGES_PER_LINK = 2
+
 # Stored pages of these kinds have the id of their URL as ``page_id``, or none.
 KINDS_WITH_ID = ("broadcast", "program")
 
@@ -167,8 +170,10 @@ def parse_behind(
     ``links`` have distinct values of ``url_key``. Few keys are broadcast to the scan, so pages outside are not even parsed. Too many
     to broadcast: with the ``index`` of a bucketed archive (``pages`` then has ``bucket``),
     links joined to it name the buckets to read, only pages there are parsed, and the
-    parsed rows are joined to the links; without one, all pages of the kind are parsed
-    where they are scanned, which the second value tells. If all links name an id, the
+    parsed rows are joined to the links; without one, links to at most one in
+    ``PAGES_PER_LINK`` stored pages are joined to the pages before these are parsed, as a
+    page is shuffled for a fraction of what its parsing takes, and otherwise all pages of
+    the kind are parsed where they are scanned, which the second value tells. If all links name an id, the
     least and the greatest one bound the scan, so that row groups of an archive sorted by
     id are skipped; ids are given out in order of time, so those of a month stand close
     together.
@@ -180,16 +185,19 @@ def parse_behind(
         F.min(page_id).alias("least"),
         F.max(page_id).alias("greatest"),
         F.count_if(page_id.isNull()).alias("without"),
+        F.count("*").alias("links"),
     ).first()
     every = pages.filter(F.col("page_kind") == kind)
-    if index is None and (found["bytes"] or 0) > limit:
+    many = (found["bytes"] or 0) > limit
+    if index is None and many and found["links"] * PAGES_PER_LINK > every.count():
         return last_visits(parse_kind(every, kind)), True
     of_kind = every
     if kind in KINDS_WITH_ID and found["least"] is not None and not found["without"]:
         between = F.col("page_id").between(found["least"], found["greatest"])
         of_kind = of_kind.filter(between | F.col("page_id").isNull())
-    if (found["bytes"] or 0) <= limit:
-        of_kind = of_kind.join(F.broadcast(keys), url_key("url") == F.col("url_key"), "left_semi")
+    if index is None or not many:
+        keys = keys.hint("merge") if many else F.broadcast(keys)
+        of_kind = of_kind.join(keys, url_key("url") == F.col("url_key"), "left_semi")
         return last_visits(parse_kind(of_kind.drop("bucket"), kind)), False
     # At most kinds x buckets values, a number fixed by the archive.
     wanted = keys.join(index.filter(F.col("page_kind") == kind), "url_key").select("bucket").distinct()

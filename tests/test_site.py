@@ -252,3 +252,24 @@ def test_stream_cuts_files_finer_in_its_own_session(spark):
     assert finer.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
     assert finer.conf.get("spark.checkpoint.dir") == spark.conf.get("spark.checkpoint.dir")
     assert spark.conf.get(setting, None) is None
+
+
+def test_many_links_to_few_of_the_pages_are_joined_before_parsing(spark, pages):
+    path = scratch_path(spark, "some")
+    save_raw_pages(pages, path)
+    archive = read_page_archive(spark, path)
+    landed = archive.filter("page_kind = 'broadcast'").count()
+    last = last_visits(parse_kind(pages, "broadcast"))
+    keys = sorted(r.url_key for r in last.select("url_key").collect())
+    for number, joined in [(2, True), (len(keys), False)]:
+        links = spark.createDataFrame([(k,) for k in keys[:number]], "url_key string")
+        parsed, complete = parse_behind(archive, links, "broadcast", 0)
+        text = parsed._jdf.queryExecution().executedPlan().toString()
+        assert (number * 2 <= landed) == joined == (not complete) == ("LeftSemi" in text)
+        assert not joined or text.index("MapInArrow") < text.index("LeftSemi")
+        want = last.filter(F.col("url_key").isin(keys[:number]))
+        assert rows_of(parsed.join(links, "url_key", "left_semi")) == rows_of(want.select(parsed.columns))
+
+
+def rows_of(df):
+    return sorted(repr(tuple(r)) for r in df.select(sorted(df.columns)).collect())
